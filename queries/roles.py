@@ -9,6 +9,8 @@ rules over the given columns, so that conforming has something to do.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ class Roles:
         self.spark = spark
         self.folder = folder
 
+    @cache
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -113,30 +116,40 @@ class Roles:
 
     def raw_views(self) -> DataFrame:
         """Quantity less 3: corrections make some counts negative; line 7 has no count."""
+        suppliers = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+        nations = self.table("nation").select(
+            F.col("n_nationkey").alias("s_nationkey"), F.lower("n_name").alias("country")
+        )
         return (
             self.table("lineitem")
-            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(suppliers, "l_suppkey")
+            .join(nations, "s_nationkey")
             .select(
-                F.date_format("l_shipdate", "yyyy-MM-dd").alias("view_date"),
+                F.col("l_shipdate").cast("date").cast("string").alias("view_date"),
                 F.concat(F.lit("VID"), F.col("l_partkey").cast("string")).alias("video_id"),
-                F.lower("n_name").alias("country"),
+                "country",
                 F.when(F.col("l_linenumber") != 7, F.col("l_quantity") - 3).alias("views"),
             )
         )
 
     def raw_partner_revenue(self) -> DataFrame:
         """Price less 2000 makes refunds; an eighth of the tax classes has no exchange rate."""
+        orders = self.table("orders").select(
+            F.col("o_orderkey").alias("l_orderkey"),
+            F.date_format("o_orderdate", "yyyyMM").alias("report_month"),
+            F.col("o_orderstatus").alias("artist_id"),
+            F.lower("o_orderpriority").alias("country"),
+        )
         return (
             self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(orders, "l_orderkey")
             .select(
-                F.date_format("o_orderdate", "yyyyMM").alias("report_month"),
+                "report_month",
                 F.col("l_suppkey").alias("distributor_id"),
                 F.col("l_returnflag").alias("platform_id"),
-                F.col("o_orderstatus").alias("artist_id"),
+                "artist_id",
                 F.when(F.col("l_linenumber") != 7, F.col("l_partkey")).alias("track_id"),
-                F.lower("o_orderpriority").alias("country"),
+                "country",
                 F.col("l_quantity").alias("streams"),
                 (F.col("l_extendedprice").cast("decimal(12,2)") - 2000).alias("revenue_original"),
                 F.lit("usd").alias("currency"),
@@ -189,51 +202,65 @@ class Roles:
 
     # conformed ---------------------------------------------------------------------------
 
+    @cache
     def distributors(self) -> DataFrame:
         return conform(self.raw_distributors(), silver.DISTRIBUTORS)
 
+    @cache
     def tracks(self) -> DataFrame:
         return conform(self.raw_tracks(), silver.TRACKS)
 
+    @cache
     def videos(self) -> DataFrame:
         return conform(self.raw_videos(), silver.VIDEOS)
 
+    @cache
     def rates(self) -> DataFrame:
         return conform(self.raw_rates(), silver.RATES)
 
+    @cache
     def views(self) -> DataFrame:
         return conform(self.raw_views(), silver.VIEWS)
 
+    @cache
     def partner_revenue(self) -> DataFrame:
         return conform(self.raw_partner_revenue(), silver.PARTNER_REVENUE)
 
+    @cache
     def mapping(self) -> DataFrame:
         return conform(self.raw_mapping(), silver.MAPPING)
 
     # facts -------------------------------------------------------------------------------
 
+    @cache
     def view_revenue(self) -> DataFrame:
         return facts.view_revenue_daily(self.views(), self.rates(), self.videos())
 
+    @cache
     def partner_fact(self) -> DataFrame:
         return facts.partner_revenue_monthly(self.partner_revenue(), self.tracks())
 
+    @cache
     def unified(self) -> DataFrame:
         return facts.revenue_unified(self.view_revenue(), self.partner_fact())
 
+    @cache
     def shares(self) -> DataFrame:
         """1-4 suppliers per track and 2-5 per video."""
         return synth.whole_mapping(self.tracks(), self.videos(), self.people())
 
+    @cache
     def people(self) -> DataFrame:
         """Contributors, one per supplier."""
         return synth.contributors(self.table("supplier").select((F.col("s_suppkey") + 1).alias("rank")))
 
+    @cache
     def allocation(self) -> DataFrame:
         return facts.contributor_revenue(facts.asset_revenue(self.unified()), self.shares())
 
     # generated masters -------------------------------------------------------------------
 
+    @cache
     def synth_artists(self) -> DataFrame:
         """Every customer is an artist."""
         pool = self.table("customer").select(
@@ -242,6 +269,7 @@ class Roles:
         )
         return synth.artists(pool, None)
 
+    @cache
     def synth_tracks(self) -> DataFrame:
         """Every part is a recording."""
         pool = self.table("part").select(
@@ -255,6 +283,7 @@ class Roles:
     def spine(self, name: str, key: str) -> DataFrame:
         return self.table(name).select((F.col(key) + 1).cast("bigint").alias("rank"))
 
+    @cache
     def synth_videos(self) -> DataFrame:
         """One video per supplier."""
         return synth.videos(self.spine("supplier", "s_suppkey"), self.synth_tracks())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,10 +59,21 @@ class TableSpec:
 
 def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Cast, trim and fold; a value that does not parse becomes null. No row is lost."""
-    rows = raw.select(*[f.expression() for f in spec.fields])
+    return raw.select(*[f.expression() for f in spec.fields])
+
+
+def completed(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Add the derived columns."""
     return rows.withColumns({name: make() for name, make in spec.derived.items()})
 
 
+def acceptable(spec: TableSpec) -> Column:
+    """Whether a typed row may enter; plain comparisons, in which null is a refusal."""
+    rules = [F.col(name).isNotNull() for name in spec.required]
+    rules += [F.col(name) >= 0 for name in spec.not_negative]
+    return reduce(and_, rules, F.lit(True))
+
+
 def judged(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed rows with the first rule each one breaks, or null."""
     reason = F.lit(None).cast("string")
@@ -69,13 +82,14 @@ def judged(raw: DataFrame, spec: TableSpec) -> DataFrame:
         reason = F.when(broken, F.lit(f"{name} missing or negative")).otherwise(reason)
     for name in reversed(spec.required):
         reason = F.when(F.col(name).isNull(), F.lit(f"{name} missing")).otherwise(reason)
-    return typed(raw, spec).withColumn(REASON, reason)
+    return completed(typed(raw, spec), spec).withColumn(REASON, reason)
 
 
 def conform(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """The accepted rows, one per key."""
-    accepted = judged(raw, spec).filter(F.col(REASON).isNull()).drop(REASON)
-    return keep_first(accepted, spec.key, spec.order_by)
+    """The accepted rows, one per key. What can be derived from them is not shuffled."""
+    accepted = typed(raw, spec).filter(acceptable(spec))
+    given = (*spec.required, *spec.not_negative)
+    return completed(keep_first(accepted, spec.key, spec.order_by, given), spec)
 
 
 def rejects(raw: DataFrame, spec: TableSpec) -> DataFrame:

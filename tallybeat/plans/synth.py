@@ -37,6 +37,16 @@ def _status(seed: str, active_percent: int, key: Column) -> Column:
     return F.when(hit, F.lit(k.ACTIVE)).otherwise(F.lit(k.INACTIVE))
 
 
+def _spread(parents: DataFrame, key: str) -> DataFrame:
+    """Parents over as many tasks as a shuffle has, however few bytes they are.
+
+    Partitions are otherwise sized by the parents, and each parent is about to become
+    hundreds of rows. A given number of partitions is left alone by adaptive execution.
+    """
+    width = int(parents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parents.repartition(width, key)
+
+
 def _size(rows: DataFrame) -> Column:
     """Number of rows as a scalar subquery: one value, computed inside the job."""
     return rows.select(F.count("*")).scalar()
@@ -52,11 +62,14 @@ def recording_pool(listens: DataFrame) -> DataFrame:
 
 
 def artist_pool(listens: DataFrame) -> DataFrame:
-    """First name seen for every artist of the credit lists."""
+    """First name seen for every artist of the credit lists.
+
+    All credits of a row carry the row's name, so the order within a list is of no account.
+    """
     credits = flatten_lists(
         listens, "artist_credit_mbids", "artist_id", [*POSITION, "artist_name"]
     )
-    return first_seen(credits, "artist_id", [*POSITION, "artist_id_pos"], ["artist_name"])
+    return first_seen(credits, "artist_id", POSITION, ["artist_name"])
 
 
 def pool_sizes(recordings: DataFrame, artists: DataFrame) -> DataFrame:
@@ -222,9 +235,10 @@ def partner_revenue(tracks: DataFrame, months: int = k.MONTH_COUNT, seed: str =
     )
     base = whole(f"{seed}.revenue.base", 500, 50000, track, platform, month, country)
     first = F.to_date(F.lit(k.FIRST_MONTH))
+    active = tracks.filter(F.col("active_status") == k.ACTIVE)
     expanded = (
-        tracks.filter(F.col("active_status") == k.ACTIVE)
-        .select("distributor_id", "artist_id", "track_id", F.explode(on_platforms).alias("platform_id"))
+        _spread(active.select("distributor_id", "artist_id", "track_id"), "track_id")
+        .select("*", F.explode(on_platforms).alias("platform_id"))
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("_month"))
         .select("*", F.add_months(first, F.col("_month")).alias("_day"))
         .withColumn("report_month", F.date_format("_day", "yyyyMM"))
@@ -256,7 +270,8 @@ def daily_views(videos: DataFrame, days: int = k.VIEW_DAYS, seed: str = SEED) ->
     start = F.greatest(F.datediff("upload_date", first), F.lit(0))
     offsets = F.when(start < days, F.sequence(start, F.lit(days - 1)))
     expanded = (
-        videos.select("video_id", "upload_date", F.explode(watched_in).alias("country"))
+        _spread(videos.select("video_id", "upload_date"), "video_id")
+        .select("*", F.explode(watched_in).alias("country"))
         .select("video_id", "country", F.explode(offsets).alias("_day"))
         .select("video_id", "country", F.date_add(first, F.col("_day")).alias("view_date"))
         .filter(uniform(f"{seed}.views.day", video, country, day) < 0.4)
