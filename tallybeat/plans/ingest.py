@@ -1,8 +1,9 @@
 """Incremental landing of Parquet files, file by file and safe to repeat.
 
-Rows land under ``ingested_date=.../source_file=...``. A file counts as landed when its
-folder holds rows, so a repeated run skips it, a run that died half-way overwrites the
-folders it had begun, and a file that could not be read is tried again.
+Rows land under ``ingested_date=.../source_file=...``. Spark moves such a folder into place
+when the job that wrote it succeeds, so a file whose folder is there has landed whole and a
+repeated run skips it; what a run that died had not moved yet is written anew, and a file
+that could not be read is tried again.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallybeat.operators.joins import keep_strangers
-from tallybeat.sources.files import list_files, readable, rows_per_file
+from tallybeat.sources.files import list_files, parquet_schema, readable, rows_per_file
+from tallybeat.sources.tables import staged
 
 PATTERN = "*.parquet"
 
@@ -37,9 +39,15 @@ def landed(spark: SparkSession, target: str, ingested_date: str, schema: StructT
     )
 
 
-def new_files(files: DataFrame, landed_files: DataFrame) -> DataFrame:
-    """Listed files that have not landed."""
-    return keep_strangers(files, landed_files, "file_name")
+def new_files(spark: SparkSession, source: str, target: str, ingested_date: str) -> DataFrame:
+    """Source files without a folder under the date; decided by listings, nothing is opened."""
+    files = list_files(spark, source, PATTERN)
+    folder = f"{target}/ingested_date={ingested_date}"
+    return (
+        keep_strangers(files, list_files(spark, folder, PATTERN), "file_name")
+        if _exists(spark, folder)
+        else files
+    )
 
 
 def ingest(
@@ -56,10 +64,11 @@ def ingest(
     holds no list that grows with the source. An unreadable file does not stop the others.
     """
     require_path(spark, source)
-    schema = schema or _schema_of(spark, source)
-    waiting = new_files(
-        list_files(spark, source, PATTERN), landed(spark, target, ingested_date, schema)
-    ).select("path", F.struct(F.coalesce("file_no", F.lit(-1)).alias("no"), "file_name").alias("at"))
+    schema = schema or parquet_schema(spark, source)
+    place = F.struct(F.coalesce("file_no", F.lit(-1)).alias("no"), "file_name")
+    waiting = staged(
+        new_files(spark, source, target, ingested_date).select("path", place.alias("at")), "waiting"
+    )
     done = None
     while True:
         rest = waiting
@@ -82,7 +91,7 @@ def manifest(
     schema: StructType | None = None,
 ) -> DataFrame:
     """One row per source file: LOADED, PARTIAL (broken inside), EMPTY or FAILED."""
-    schema = schema or _schema_of(spark, source)
+    schema = schema or parquet_schema(spark, source)
     files = list_files(spark, source, PATTERN).select("path", "file_name", "file_no", "length")
     arrived = landed(spark, target, ingested_date, schema)
     there = (
@@ -134,10 +143,6 @@ def _land(
     )
 
 
-def _schema_of(spark: SparkSession, source: str) -> StructType:
-    return spark.read.option("ignoreCorruptFiles", True).parquet(source).schema
-
-
 def _landed_schema(schema: StructType) -> StructType:
     return StructType(list(schema.fields)).add("ingested_date", "string").add("source_file", "string")
 

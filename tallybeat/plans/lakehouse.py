@@ -158,6 +158,8 @@ def generate_bronze(
     contributor_count: int = k.CONTRIBUTOR_COUNT,
     channel_count: int = k.CHANNEL_COUNT,
     video_count: int = k.VIDEO_COUNT,
+    month_count: int = k.MONTH_COUNT,
+    view_days: int = k.VIEW_DAYS,
 ) -> None:
     """Write the reference CSVs, made from ids found in the first landed listen files."""
     pool_columns = [
@@ -187,8 +189,8 @@ def generate_bronze(
         "contributors": contributors,
         "youtube_channels": synth.channels(synth.numbers(spark, channel_count), seed),
         "youtube_videos": videos,
-        "distributor_revenue_monthly": synth.partner_revenue(tracks, seed=seed),
-        "youtube_view_daily": synth.daily_views(videos, seed=seed),
+        "distributor_revenue_monthly": synth.partner_revenue(tracks, month_count, seed),
+        "youtube_view_daily": synth.daily_views(videos, view_days, seed),
         "content_contributor_mapping": synth.whole_mapping(tracks, videos, contributors, seed),
     }
     for name, rows in outputs.items():

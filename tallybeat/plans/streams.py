@@ -57,7 +57,8 @@ def stream_monthly(listens: DataFrame, tracks: DataFrame) -> DataFrame:
 def active_members(listens: DataFrame, tracks: DataFrame) -> DataFrame:
     """Size of the active catalog and how much of it was ever listened to."""
     active = active_catalog(tracks).select("recording_mbid").distinct()
-    heard = listens.select("recording_mbid").distinct().withColumn("heard", F.lit(1))
+    of_active = keep_members(listens.select("recording_mbid"), active, "recording_mbid")
+    heard = of_active.distinct().withColumn("heard", F.lit(1))
     return active.join(heard, "recording_mbid", "left").agg(
         F.count("*").alias("active_tracks"), F.count("heard").alias("heard_tracks")
     )

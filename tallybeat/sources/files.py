@@ -6,9 +6,10 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from tallybeat.functions.columns import leading_number, to_instant
 
@@ -70,8 +71,9 @@ def read_listens(
     schema: StructType | str = LISTENS,
 ) -> DataFrame:
     """Landed listens; with a date only that ``ingested_date=`` folder is listed and read."""
-    declared = spark.createDataFrame([], schema).schema.add("ingested_date", "string")
-    rows = spark.read.schema(declared).parquet(root)
+    declared = schema if isinstance(schema, StructType) else DataType.fromDDL(schema)
+    dated = StructType(list(declared.fields)).add("ingested_date", "string")
+    rows = spark.read.schema(dated).parquet(root)
     return rows if ingested_date is None else rows.filter(F.col("ingested_date") == ingested_date)
 
 
@@ -106,16 +108,30 @@ def numbered(files: DataFrame) -> DataFrame:
     return files.orderBy("file_no", "file_name")
 
 
+def parquet_schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of the Parquet files below a path: of one file, or of all if that one is broken."""
+    reader = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+    try:
+        return reader.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return reader.option("mergeSchema", True).parquet(path).schema
+
+
 def rows_per_file(
-    spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None
+    spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame:
     """Rows of each Parquet file. No column is read, so the counts come from the footers.
 
     A file that cannot be opened has no row here; the others are counted.
     """
-    reader = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
-    reader = reader.schema(schema) if schema else reader
-    rows = reader.parquet(*([path] if isinstance(path, str) else path))
+    rows = (
+        spark.read.schema(schema or parquet_schema(spark, path))
+        .option("ignoreCorruptFiles", True)
+        .option("recursiveFileLookup", True)
+        .parquet(path)
+    )
     return rows.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
         F.count("*").alias("row_count")
     )
