@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallybeat.operators.conform import conform
 from tallybeat.plans import facts, silver, synth
+from tallybeat.sources.tables import staged
 
 
 class Roles:
@@ -246,8 +247,8 @@ class Roles:
 
     @cache
     def shares(self) -> DataFrame:
-        """1-4 suppliers per track and 2-5 per video."""
-        return synth.whole_mapping(self.tracks(), self.videos(), self.people())
+        """1-4 suppliers per track and 2-5 per video, made once like any table others read."""
+        return staged(synth.whole_mapping(self.tracks(), self.videos(), self.people()), "shares")
 
     @cache
     def people(self) -> DataFrame:

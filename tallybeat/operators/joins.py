@@ -45,7 +45,7 @@ def fan_out_join(
     ``spread_by``, and their left rows are repeated once per part. The list of heavy keys
     has at most ``most_heavy`` rows, the longest keys first, which is what makes its
     broadcast safe; a key beyond the list joins whole, and is then shorter than a
-    ``most_heavy``-th of the details.
+    ``most_heavy``-th of the details. The details are read twice, so let them be a table.
     """
     heavy = F.broadcast(
         details.groupBy(on)
