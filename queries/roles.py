@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tallybeat.operators.conform import conform
 from tallybeat.plans import facts, silver, synth
-from tallybeat.sources.tables import staged
 
 
 class Roles:
@@ -247,8 +246,9 @@ class Roles:
 
     @cache
     def shares(self) -> DataFrame:
-        """1-4 suppliers per track and 2-5 per video, made once like any table others read."""
-        return staged(synth.whole_mapping(self.tracks(), self.videos(), self.people()), "shares")
+        """1-4 suppliers per track and 2-5 per video; needs the assets' ids only."""
+        tracks, videos = (raw.select("asset_id") for raw in (self.raw_tracks(), self.raw_videos()))
+        return synth.whole_mapping(tracks, videos, self.people())
 
     @cache
     def people(self) -> DataFrame:

@@ -21,8 +21,8 @@ def land_new_files(
     ingested_date: str,
     schema: StructType | str,
     files_per_batch: int = 1000,
-) -> int:
-    """Land every file not seen before, then stop; returns the number of rows landed."""
+) -> None:
+    """Land every file not seen before, then stop. ``landed_rows`` tells what has arrived."""
     arriving = (
         spark.readStream.schema(schema)
         .option("fileNameOnly", True)
@@ -44,7 +44,6 @@ def land_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
 
 
 def landed_rows(spark: SparkSession, target: str) -> DataFrame:

@@ -88,6 +88,13 @@ def test_bad_date_keeps_the_row_and_is_counted(spark):
     assert rows_of(unparsed_counts(raw, silver.VIEWS)) == [("view_date", 1), ("views", 0)]
 
 
+def test_only_whole_dates_count(spark):
+    texts = ["2024-02-29", "2023-02-29", "2024", "2024-1-1", "2024-01-01T00:00", " 2024-01-01", "2024-01-01\n", ""]
+    raw = views(spark, *[(text, f"v{i}", "VN", "1") for i, text in enumerate(texts)])
+    found = conform(raw, silver.VIEWS).filter("view_date is not null")
+    assert rows_of(found, "video_id", "view_date") == [("v0", date(2024, 2, 29))]
+
+
 def test_two_rate_periods_keep_the_earlier(spark):
     raw = spark.createDataFrame(
         [("vn", "V", "0.002", "2025-01-01", "2025-12-31"), ("VN", "V", "0.001", "2024-01-01", "2024-12-31")],
