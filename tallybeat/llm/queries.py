@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.llm import mixing, pii, rules, secrets
+from tallybeat.llm import bpe, mixing, pii, rules, secrets
 from tallybeat.llm.text import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +65,12 @@ def op9_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, as digests, and the bytes they decode to."""
+    ranks = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(documents(spark, folder), ranks)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -71,5 +78,6 @@ QUERIES: dict[str, Query] = {
         op3_secrets,
         op4_pii,
         op9_rules,
+        op10_bpe,
     )
 }
