@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.llm import bpe, mixing, pii, rules, secrets
+from tallybeat.llm import bpe, langid, mixing, pii, rules, secrets
 from tallybeat.llm.text import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,12 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = documents(spark, folder)
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op9_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Line rules and the verdict on every document."""
     return rules.rule_report(documents(spark, folder)).select(
@@ -77,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op1_mixing,
         op3_secrets,
         op4_pii,
+        op7_langid,
         op9_rules,
         op10_bpe,
     )
