@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.llm import bpe, langid, mixing, pii, rules, secrets
+from tallybeat.llm import bpe, langid, mixing, neardup, pii, rules, secrets
 from tallybeat.llm.text import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,13 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of word pairs are similar at 0.8."""
+    return neardup.groups(documents(spark, folder), neardup.Settings(words=2)).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document."""
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -81,6 +88,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing,
+        op2_neardup,
         op3_secrets,
         op4_pii,
         op7_langid,
