@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.llm import bpe, langid, mixing, neardup, pii, rules, secrets
+from tallybeat.llm import bpe, langid, mixing, neardup, pii, rules, secrets, substrings
 from tallybeat.llm.text import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words of windows of 20 that were seen earlier."""
+    return substrings.removed(documents(spark, folder)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     docs = documents(spark, folder)
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
         op2_neardup,
         op3_secrets,
         op4_pii,
+        op6_substrings,
         op7_langid,
         op9_rules,
         op10_bpe,
