@@ -20,19 +20,16 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybeat.llm.components import components
 from tallybeat.llm.text import whole
+from tallybeat.llm.wordhash import MIX1, MIX2, mixed, slices, word_hashes
 from tallybeat.sources.tables import staged
 
-#: Bytes of text hashed at once, and distinct words remembered by a task.
-SLICE, MEMO = 1 << 21, 1 << 19
 #: Rounds of hubs before the exact finish.
 HUB_ROUNDS = 1
-MIX1, MIX2, MIX3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -49,50 +46,21 @@ class Settings:
     seed: int = 7
 
 
-class Memo(dict):
-    """Hashes of words, computed once each."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x = x * MIX3
-    return x ^ (x >> np.uint64(29))
-
-
-def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``SLICE`` bytes; a longer text is a range of its own."""
-    sizes = [len(x) for x in texts.to_pylist()]
-    begin, held = 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > SLICE:
-            yield begin, i
-            begin, held = i, 0
-        held += size
-    if begin < len(sizes):
-        yield begin, len(sizes)
-
-
-def shingle_sets(texts: list[str], words: int, memo: Memo) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words make one shingle of all."""
-    out = []
-    for text in texts:
-        parts = text.encode().lower().split()
-        h = np.fromiter(map(memo.__getitem__, parts), np.uint64, len(parts))
-        if not len(h):
-            out.append(h)
+    h, sizes = word_hashes(texts, lower=True)
+    sets = []
+    for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+        own = h[end - size : end]
+        if not size:
+            sets.append(own)
             continue
-        width = min(words, len(h))
-        x = np.full(len(h) - width + 1, np.uint64(width))
+        width = min(words, size)
+        x = np.full(size - width + 1, np.uint64(width))
         for i in range(width):
-            x = mixed(x * MIX1 + h[i : len(h) - width + 1 + i])
-        out.append(np.unique(x))
-    return out
+            x = mixed(x * MIX1 + own[i : size - width + 1 + i])
+        sets.append(np.unique(x))
+    return sets
 
 
 def signatures(sets: list[np.ndarray], s: Settings) -> np.ndarray:
@@ -124,11 +92,10 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
     rows = docs.select("doc_id", whole(F.col("text")).alias("text")).withColumn("text_key", F.xxhash64("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo()
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 part = batch.slice(low, high - low)
-                sets = shingle_sets(part.column(1).to_pylist(), s.words, memo)
+                sets = shingle_sets(part.column(1), s.words)
                 full = [x for x in sets if len(x)]
                 keys = iter(band_keys(signatures(full, s), s)) if full else iter(())
                 ids = [int.from_bytes(blake2b(x.tobytes(), digest_size=8).digest(), "big", signed=True) if len(x) else None for x in sets]
@@ -156,11 +123,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     rows = texts.join(wanted, "text_key").select("class_id", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo()
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 part = batch.slice(low, high - low)
-                sets = [x.view(np.int64) for x in shingle_sets(part.column(1).to_pylist(), words, memo)]
+                sets = [x.view(np.int64) for x in shingle_sets(part.column(1), words)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"]
                 )

@@ -27,17 +27,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybeat.llm.neardup import MIX1, MIX2, Memo, mixed, slices
 from tallybeat.llm.text import whole
+from tallybeat.llm.wordhash import MIX1, MIX2, Ranges, mixed, slices, word_hashes
 from tallybeat.sources.tables import staged
 
 #: Words in a window; rounds; most words in a symbol; symbols that name an anchor.
 WINDOW, ROUNDS, SPAN, NAMED = 20, 2, 6, 3
 LAST = 2**63 - 1
+#: Hashes of texts that tell rows of one id apart, and more windows than a segment can
+#: have; both are powers of two, packed below the start of a segment.
+KEYS, MOST_WINDOWS = 1 << 16, 1 << 8
+PACKED = 24
 
 
 def renamed_runs(names, spans, docs, l, r):
-    """Short runs of one symbol become one; the first and last run of a window are left out."""
+    """Short runs of one symbol become one; the first and last run of a window are left out.
+
+    What can be seen of the run at an edge decides: where that is too long to be joined, no
+    continuation outside changes anything.
+    """
     n = len(names)
     new = np.ones(n, bool)
     new[1:] = (names[1:] != names[:-1]) | (docs[1:] != docs[:-1])
@@ -46,18 +54,22 @@ def renamed_runs(names, spans, docs, l, r):
     end = np.append(first[1:], n)
     size = end - first
     joins = (size > 1) & (size * spans[first] <= SPAN)
-    # The visible part of the run at either edge decides whether it could be joined.
-    ahead = np.minimum(end[run[l]], r) - l
-    behind = r - np.maximum(first[run[r - 1]], l)
-    one = ahead >= r - l
-    l2 = np.where(ahead * spans[l] <= SPAN, l + ahead, l)
-    r2 = np.where((behind * spans[r - 1] <= SPAN), r - behind, r)
-    l2, r2 = np.where(one & (ahead * spans[l] <= SPAN), r, l2), np.where(one & (ahead * spans[l] <= SPAN), r, r2)
+    l2, r2 = l + (spans[l] <= SPAN), r - (spans[r - 1] <= SPAN)
+    long_ = size[run] > 1
+    of = np.flatnonzero(long_[l] | long_[r - 1])
+    if len(of):
+        lo, hi = l[of], r[of]
+        ahead = np.minimum(end[run[lo]], hi) - lo
+        behind = hi - np.maximum(first[run[hi - 1]], lo)
+        l2[of] = np.where(ahead * spans[lo] <= SPAN, lo + ahead, lo)
+        r2[of] = np.where(behind * spans[hi - 1] <= SPAN, hi - behind, hi)
+    if not joins.any():
+        return names, spans, docs, np.arange(n), l2, r2
     keep = new | ~joins[run]
-    at = np.cumsum(keep) - 1
-    name = np.where(joins[run], mixed(mixed(names * MIX2) + size[run].astype(np.uint64)), names)[keep]
-    span = np.where(joins[run], size[run] * spans, spans)[keep]
-    return name, span, docs[keep], at, l2, r2
+    inside = joins[run]
+    name = np.where(inside, mixed(mixed(names * MIX2) + size[run].astype(np.uint64)), names)[keep]
+    span = np.where(inside, size[run] * spans, spans)[keep]
+    return name, span, docs[keep], np.cumsum(keep) - 1, l2, r2
 
 
 def renamed_pairs(names, spans, docs, l, r, turn):
@@ -79,23 +91,6 @@ def renamed_pairs(names, spans, docs, l, r, turn):
     return name, span, docs[keep], at, l2, r2
 
 
-class Ranges:
-    """Hashes of any range of words, from sums of powers."""
-
-    BASE = 0x9E3779B97F4A7C15
-
-    def __init__(self, h: np.ndarray):
-        power = np.full(len(h) + 1, np.uint64(self.BASE))
-        inverse = np.full(len(h) + 1, np.uint64(pow(self.BASE, -1, 1 << 64)))
-        power[0] = inverse[0] = 1
-        power, self.inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
-        self.sums = np.append(np.uint64(0), np.cumsum(h * power[:-1], dtype=np.uint64))
-
-    def hashed(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        value = mixed((self.sums[end] - self.sums[begin]) * self.inverse[begin])
-        return mixed(value * MIX1 + (end - begin).astype(np.uint64)).view(np.int64)
-
-
 def least_of(value: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Index of the first least value in each [lo, hi): two overlapping powers of two."""
     size = hi - lo
@@ -150,18 +145,10 @@ def anchors(h: np.ndarray, docs: np.ndarray, starts: np.ndarray, width: int = WI
     return best_name, best_at
 
 
-def hashed_words(texts: list[str], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and how many each text has."""
-    parts = [text.encode().split() for text in texts]
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    words = (w for p in parts for w in p)
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, int(sizes.sum())), sizes
-
-
-def segments(texts: list[str], memo: Memo, width: int = WINDOW) -> tuple[np.ndarray, ...]:
+def segments(texts: pa.Array, width: int = WINDOW) -> tuple[np.ndarray, ...]:
     """Segments in order: text number, start, anchor name, hash of its words, windows."""
-    h, sizes = hashed_words(texts, memo)
-    docs = np.repeat(np.arange(len(texts)), sizes)
+    h, sizes = word_hashes(texts)
+    docs = np.repeat(np.arange(len(sizes)), sizes)
     first = np.cumsum(sizes) - sizes
     starts = np.arange(max(len(h) - width + 1, 0))
     starts = starts[docs[starts] == docs[starts + width - 1]]
@@ -175,100 +162,106 @@ def segments(texts: list[str], memo: Memo, width: int = WINDOW) -> tuple[np.ndar
     n = np.diff(np.append(of, len(head)))
     begin, name = starts[of], name[of]
     doc = docs[begin]
-    return doc, begin - first[doc], name.view(np.int64), Ranges(h).hashed(begin, begin + n + width - 1), n
+    segment = Ranges(h).hashed(begin, begin + n + width - 1)
+    return doc, begin - first[doc], name.view(np.int64), segment.view(np.int64), n
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """uid, text_key, text: rows of one id and different texts stay apart; null ids come last."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("uid"),
-        F.hash(whole(F.col("text"))).alias("text_key"),
+        F.pmod(F.hash(whole(F.col("text"))), F.lit(KEYS)).alias("text_key"),
         whole(F.col("text")).alias("text"),
     )
 
 
 def described(docs: DataFrame, width: int) -> DataFrame:
-    """name, segment, uid, text_key, start, n (windows): a row per segment."""
+    """name, segment, uid, mark: a row per segment; a mark packs start, windows and text_key."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo()
         for batch in batches:
-            uid, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            uid, key = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
             for low, high in slices(batch.column(2)):
-                doc, start, name, segment, n = segments(batch.column(2)[low:high].to_pylist(), memo, width)
-                columns = [name, segment, uid[low + doc], key[low + doc], start.astype(np.int32), n.astype(np.int32)]
+                doc, start, name, segment, n = segments(batch.column(2)[low:high], width)
+                mark = (start * MOST_WINDOWS + n) * KEYS + key[low + doc]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], ["name", "segment", "uid", "text_key", "start", "n"]
+                    [pa.array(c) for c in (name, segment, uid[low + doc], mark)], ["name", "segment", "uid", "mark"]
                 )
 
-    return keyed(docs).mapInArrow(describe, "name bigint, segment bigint, uid bigint, text_key int, start int, n int")
+    return keyed(docs).mapInArrow(describe, "name bigint, segment bigint, uid bigint, mark bigint")
 
 
 def windows_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """name, window (64-bit hash), text_key, place: every window of the wanted segments."""
-    lists = wanted.groupBy("uid", "text_key").agg(F.collect_set(F.struct("name", "start", "n")).alias("parts"))
+    """name, window (64-bit hash), place: every window of the wanted segments."""
+    lists = wanted.groupBy("uid", "text_key").agg(F.collect_set(F.struct("name", "mark")).alias("parts"))
     rows = keyed(docs).join(lists, ["uid", "text_key"])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo()
         for batch in batches:
-            for uid, key, text, parts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                ranges = Ranges(hashed_words([text], memo)[0])
-                n = np.array([x["n"] for x in parts])
-                skip = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                begin = np.repeat([x["start"] for x in parts], n) + skip
+            ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for low, high in slices(batch.column(2)):
+                h, sizes = word_hashes(batch.column(2)[low:high])
+                first = np.cumsum(sizes) - sizes
+                parts = batch.column(3)[low:high]
+                of = np.repeat(np.arange(high - low), np.asarray(parts.value_lengths()))
+                flat = parts.flatten()
+                name, mark = flat.field("name").to_numpy(), flat.field("mark").to_numpy()
+                n, start = mark // KEYS % MOST_WINDOWS, mark // KEYS // MOST_WINDOWS
+                start = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                of = np.repeat(of, n)
+                begin = first[of] + start
+                mark = (start * MOST_WINDOWS + 1) * KEYS + keys[low + of]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.repeat([x["name"] for x in parts], n)),
-                        pa.array(ranges.hashed(begin, begin + width)),
-                        pa.array(np.full(len(begin), uid, np.int64)),
-                        pa.array(np.full(len(begin), key, np.int32)),
-                        pa.array(begin.astype(np.int32)),
+                        pa.array(np.repeat(name, n)),
+                        pa.array(Ranges(h).hashed(begin, begin + width).view(np.int64)),
+                        pa.array(ids[low + of]),
+                        pa.array(mark),
                     ],
-                    ["name", "window", "uid", "text_key", "start"],
+                    ["name", "window", "uid", "mark"],
                 )
 
-    found = rows.select("uid", "text_key", "text", "parts").mapInArrow(
-        explode, "name bigint, window bigint, uid bigint, text_key int, start int"
+    return rows.select("uid", "text_key", "text", "parts").mapInArrow(
+        explode, "name bigint, window bigint, uid bigint, mark bigint"
     )
-    return found.select("name", "window", "text_key", F.struct("uid", "start").alias("place"))
 
 
-def after(place: Column, first: Column) -> Column:
-    """Whether a place is later than the first one; equal ids and starts are not."""
-    return (place["uid"] > first["uid"]) | (place["uid"] == first["uid"]) & (place["start"] > first["start"])
+def after(first: Column) -> Column:
+    """Whether a row is later than the first place; equal ids and starts are not."""
+    later = F.expr(f"shiftright(mark, {PACKED})") > F.shiftright(first["mark"], PACKED)
+    return (F.col("uid") > first["uid"]) | (F.col("uid") == first["uid"]) & later
 
 
 def repeated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """uid, text_key, start, size: runs of words that windows seen earlier cover."""
     rows = described(docs, width)
+    place = F.struct("uid", "mark")
     several = rows.groupBy("name").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("name")
-    shared = staged(rows.join(several, "name", "left_semi"), "substring-segments").select(
-        "name", "segment", "text_key", "n", F.struct("uid", "start").alias("place")
-    )
-    kinds = staged(shared.groupBy("name", "segment").agg(F.min("place").alias("first")), "substring-kinds")
-    seen = shared.join(kinds, ["name", "segment"])
-    whole_ = seen.filter(after(F.col("place"), F.col("first"))).select(
-        "place.uid", "text_key", "place.start", (F.col("n") + width - 1).alias("size")
-    )
+    shared = staged(rows.join(several, "name", "left_semi"), "substring-segments")
+    kinds = staged(shared.groupBy("name", "segment").agg(F.min(place).alias("first")), "substring-kinds")
+    whole_ = shared.join(kinds, ["name", "segment"]).filter(after(F.col("first")))
     partly = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("name")
-    wanted = (
-        seen.join(partly, "name", "left_semi")
-        .filter(F.col("place") == F.col("first"))
-        .select("name", "place.uid", "text_key", "place.start", "n")
+    wanted = kinds.join(partly, "name", "left_semi").select(
+        "name", "first.uid", "first.mark", F.expr(f"first.mark % {KEYS}").cast("int").alias("text_key")
     )
-    windows = windows_of(docs, wanted, width)
+    windows = staged(windows_of(docs, wanted, width), "substring-windows")
     earliest = (
         windows.groupBy("name", "window")
-        .agg(F.min("place").alias("first"), F.max("place").alias("last"))
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter(F.col("first") < F.col("last"))
+        .select("name", "window", "first")
     )
-    single = (
-        windows.join(earliest, ["name", "window"])
-        .filter(after(F.col("place"), F.col("first")))
-        .select("place.uid", "text_key", "place.start", F.lit(width).alias("size"))
+    single = windows.join(earliest, ["name", "window"]).filter(after(F.col("first")))
+    return (
+        whole_.select("uid", "mark")
+        .unionByName(single.select("uid", "mark"))
+        .select(
+            "uid",
+            F.expr(f"mark % {KEYS}").cast("int").alias("text_key"),
+            F.expr(f"shiftright(mark, {PACKED})").cast("int").alias("start"),
+            F.expr(f"shiftright(mark, 16) % {MOST_WINDOWS} + {width - 1}").cast("int").alias("size"),
+        )
     )
-    return whole_.unionByName(single)
 
 
 def covered(n: int, ranges: list) -> np.ndarray:
