@@ -236,7 +236,9 @@ def repeated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """uid, text_key, start, size: runs of words that windows seen earlier cover."""
     rows = described(docs, width)
     place = F.struct("uid", "mark")
-    several = rows.groupBy("name").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("name")
+    several = staged(
+        rows.groupBy("name").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("name"), "substring-names"
+    )
     shared = staged(rows.join(several, "name", "left_semi"), "substring-segments")
     kinds = staged(shared.groupBy("name", "segment").agg(F.min(place).alias("first")), "substring-kinds")
     whole_ = shared.join(kinds, ["name", "segment"]).filter(after(F.col("first")))

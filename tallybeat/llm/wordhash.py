@@ -18,6 +18,8 @@ LOWER = PLAIN.copy()
 LOWER[65:91] = PLAIN[97:123]
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: Everything in ASCII but letters and digits, for words without their punctuation.
+MARKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,11 +69,11 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, lower: bool = False, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word in order, and how many words each text has."""
     data, bounds = buffers(texts)
     data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
-    letter = ~BLANK[data]
+    letter = ~blank[data]
     opens = letter.copy()
     opens[1:] &= ~letter[:-1]
     closes = letter.copy()
