@@ -201,23 +201,28 @@ def total_bits(model: Model, texts: pa.Array) -> np.ndarray:
     return out
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None, keep: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score, bits_per_byte: one row per row of ``docs``.
 
-    Needs doc_id and text; other columns are not read. A null or empty text, or one
-    without a letter, is ``und`` with score 0; without a model every text is. The score is
-    the share of the best language if each language's weight falls by half for every
-    1/16 bit per byte that its code is longer. Ties go to the first language in order.
+    Needs doc_id and text; other columns are not read, but carried along if ``keep``; they
+    may have any name but the three that are added. A null or empty text, or one without a
+    letter, is ``und`` with score 0; without a model every text is. The score is the share
+    of the best language if each language's weight falls by half for every 1/16 bit per
+    byte that its code is longer. Ties go to the first language in order; null ids are
+    not held out; rows that repeat get equal results; an empty table gives an empty one.
     """
+    columns = docs.columns if keep else ["doc_id"]
     rows = docs.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), whole(F.col("text")).alias("text")
-    ).withColumn("lettered", F.col("text").rlike(r"\p{L}"))
-    schema = "doc_id {}, held_out boolean, lang_pred string, score double, bits_per_byte double".format(
-        docs.schema["doc_id"].dataType.simpleString()
-    )
+        *columns, *([] if keep else [held_out(F.col("doc_id")).alias("held_out")]), whole(F.col("text")).alias("_body")
+    ).withColumn("_lettered", F.col("_body").rlike(r"\p{L}"))
+    given = [f for f in rows.schema if f.name not in ("_body", "_lettered")]
+    added = ["lang_pred", "score", "bits_per_byte"]
     if model is None:
         return rows.select(
-            "doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte")
+            *[f.name for f in given],
+            F.lit(UNKNOWN).alias("lang_pred"),
+            F.lit(0.0).alias("score"),
+            F.lit(None).cast("double").alias("bits_per_byte"),
         )
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -225,22 +230,21 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         own = shared.value
         names = np.array([*own.langs, UNKNOWN], object)
         for batch in batches:
-            texts, lettered = batch.column(2), np.asarray(batch.column(3).to_pylist(), bool)
+            texts, lettered = batch.column(len(given)), batch.column(len(given) + 1).to_numpy(zero_copy_only=False)
             bits = total_bits(own, texts)
-            size = np.maximum(np.asarray(pc.binary_length(texts).to_pylist(), float), 1)[:, None]
-            rate = bits / size
-            best = rate.argmin(axis=1) if len(rate) else np.zeros(0, int)
-            weight = np.exp2(-16 * (rate - rate.min(axis=1, keepdims=True))) if len(rate) else rate
-            score = np.where(lettered, 1 / weight.sum(axis=1), 0.0) if len(rate) else np.zeros(0)
+            rate = bits / np.maximum(pc.binary_length(texts).to_numpy(), 1)[:, None]
+            best = rate.argmin(axis=1)
+            least = rate.min(axis=1)
+            share = 1 / np.exp2(-16 * (rate - least[:, None])).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(1),
+                    *batch.columns[: len(given)],
                     pa.array(names[np.where(lettered, best, -1)], pa.string()),
-                    pa.array(score),
-                    pa.array(rate.min(axis=1) if len(rate) else score),
+                    pa.array(np.where(lettered, share, 0.0)),
+                    pa.array(least),
                 ],
-                ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"],
+                [*[f.name for f in given], *added],
             )
 
-    return rows.mapInArrow(predict, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given)
+    return rows.mapInArrow(predict, f"{schema}, lang_pred string, score double, bits_per_byte double")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.llm import bpe, langid, mixing, neardup, pii, rules, secrets, substrings
+from tallybeat.llm import bpe, forest, langid, mixing, neardup, pii, quality, rules, secrets, substrings
 from tallybeat.llm.text import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality and toxicity of every document, and whether it is kept."""
+    return quality.judge(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the words of windows of 20 that were seen earlier."""
     return substrings.removed(documents(spark, folder)).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -68,6 +73,11 @@ def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op8_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return forest.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op9_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Line rules and the verdict on every document."""
     return rules.rule_report(documents(spark, folder)).select(
@@ -96,8 +106,10 @@ QUERIES: dict[str, Query] = {
         op2_neardup,
         op3_secrets,
         op4_pii,
+        op5_quality,
         op6_substrings,
         op7_langid,
+        op8_forest,
         op9_rules,
         op10_bpe,
     )

@@ -153,6 +153,19 @@ def scan(
     return rows.select("doc_id", "base", t.in_order(F.col("base"), judged).alias("spans"))
 
 
+def cleaned(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with redacted texts; rows without a span stay as they are."""
+    found = scan(docs.select(F.struct("doc_id", F.xxhash64(t.whole(F.col("text"))).alias("key")).alias("doc_id"), "text"), **options)
+    spans = (
+        found.filter(F.size("spans") > 0)
+        .select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.key").alias("_key"), F.col("spans").alias("_spans"))
+        .dropDuplicates(["_id", "_key"])
+    )
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(t.whole(F.col("text"))) == F.col("_key"))
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans")))
+    return docs.join(spans, own, "left").select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+
+
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each span, or chain of overlapping spans, replaced by a mark."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

@@ -69,8 +69,8 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def word_hashes(texts: pa.Array, lower: bool = False, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word in order, and how many words each text has."""
+def word_ranges(texts: pa.Array, lower: bool, blank: np.ndarray) -> tuple[Ranges, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of byte ranges, where words begin and end, and how many each text has."""
     data, bounds = buffers(texts)
     data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
     letter = ~blank[data]
@@ -82,5 +82,10 @@ def word_hashes(texts: pa.Array, lower: bool = False, blank: np.ndarray = BLANK)
     opens[edges] = letter[edges]
     closes[edges[1:] - 1] = letter[edges[1:] - 1]
     begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    ranges = Ranges((LOWER if lower else PLAIN)[data])
-    return ranges.hashed(begin, end), np.diff(np.searchsorted(begin, bounds))
+    return Ranges((LOWER if lower else PLAIN)[data]), begin, end, np.diff(np.searchsorted(begin, bounds))
+
+
+def word_hashes(texts: pa.Array, lower: bool = False, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word in order, and how many words each text has."""
+    ranges, begin, end, sizes = word_ranges(texts, lower, blank)
+    return ranges.hashed(begin, end), sizes
