@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybeat.llm.text import WORD, whole
-from tallybeat.llm.wordhash import MARKS, MIX2, slices, word_hashes, word_ranges
+from tallybeat.llm.wordhash import BLANK, MARKS, MIX1, MIX2, buffers, slices, word_hashes, word_ranges
 from tallybeat.sources.tables import staged
 
 #: Hash bits; documents, about, that the scorer is fitted on; steps and step size of the fit.
-BITS, SAMPLE_DOCS, STEPS, RATE, SHRINK = 18, 12_000, 150, 0.1, 1e-4
-#: Bytes of a word's beginning that are a feature of longer words.
-STEM = 6
+BITS, SAMPLE_DOCS, STEPS, RATE, SPARSE = 18, 12_000, 200, 2.0, 0.002
+#: Bytes of a word's beginning that are a feature of longer words; fewest texts of a feature.
+STEMS, FEWEST = (6, 8), 3
 #: Most documents with labels by hand that train a labeller, about.
 LABEL_DOCS = 12_000
 #: Abuse in two lists that overlap, so that neither labeller sees all.
@@ -66,11 +66,10 @@ def label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100)
     """
     votes = np.array([p for p, _ in patterns])
     count = np.array([n for _, n in patterns], float)
-    good = ((votes == 1).sum(axis=1) + 1.0) / ((votes >= 0).sum(axis=1) + 2.0)
     if not votes.shape[1]:
         return {p: 0.5 for p, _ in patterns}
-    bad_any = (votes == 0).sum(axis=1)
-    good = np.where(bad_any * 2 > (votes == 1).sum(axis=1), np.minimum(good, 0.3), np.maximum(good, 0.7))
+    # A firm start: one class is rare, and soft guesses of the other would swamp it.
+    good = np.where((votes == 0).sum(axis=1) * 2 > (votes == 1).sum(axis=1), 0.02, 0.98)
     for _ in range(rounds):
         weight = np.stack([count * (1 - good), count * good])
         prior = (weight.sum(axis=1) + 1) / (count.sum() + 2)
@@ -95,29 +94,42 @@ def posteriors(rows: DataFrame, votes: list[str], out: str) -> DataFrame:
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed words and beginnings of words: text number and feature, sorted."""
+    """Distinct hashed words, beginnings of words and closing marks: text number, feature."""
     ranges, begin, end, sizes = word_ranges(texts, lower=True, blank=MARKS)
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    long_ = end - begin > STEM
-    h = np.append(ranges.hashed(begin, end), ranges.hashed(begin[long_], begin[long_] + STEM) * MIX2)
-    pair = np.unique((np.append(of, of[long_]) << BITS) | (h >> np.uint64(64 - BITS)).astype(np.int64))
+    of = [np.repeat(np.arange(len(sizes)), sizes)]
+    h = [ranges.hashed(begin, end)]
+    for stem in STEMS:
+        long_ = end - begin > stem
+        h.append(ranges.hashed(begin[long_], begin[long_] + stem) * MIX2)
+        of.append(of[0][long_])
+    data, bounds = buffers(texts)
+    ranges, begin, end, sizes = word_ranges(texts, lower=True, blank=BLANK)
+    closed = MARKS[data[bounds[0] + end - 1]]
+    h.append(ranges.hashed(np.maximum(begin, end - 2)[closed], end[closed]) * MIX1)
+    of.append(np.repeat(np.arange(len(sizes)), sizes)[closed])
+    pair = np.unique((np.concatenate(of) << BITS) | (np.concatenate(h) >> np.uint64(64 - BITS)).astype(np.int64))
     return pair >> BITS, pair & ((1 << BITS) - 1)
 
 
 def fit(texts: pa.Array, target: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and offset of a logistic scorer for soft targets, classes balanced."""
+    """Weights and offset of a sparse logistic scorer for soft targets, classes balanced.
+
+    Proximal gradient steps, shorter for frequent features, on features of several texts.
+    """
     row, column = features(texts)
-    size = np.maximum(np.bincount(row, minlength=len(target)), 1)
+    spread = np.bincount(column, minlength=1 << BITS)
+    often = spread[column] >= FEWEST
+    row, column = row[often], column[often]
+    n = max(len(target), 1)
     share = np.clip(target.mean(), 0.01, 0.99) if len(target) else 0.5
     balance = (target / share + (1 - target) / (1 - share)) / 2
-    w, m, v = (np.zeros(1 << BITS) for _ in range(3))
-    b = 0.0
-    for step in range(1, STEPS + 1):
+    scale = RATE / np.sqrt(np.maximum(spread, 1) / n)
+    w, b = np.zeros(1 << BITS), 0.0
+    for _ in range(STEPS):
         z = b + np.bincount(row, w[column], minlength=len(target))
-        error = balance * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - target) / max(len(target), 1)
-        grad = np.bincount(column, error[row], minlength=1 << BITS) + SHRINK * w
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-4)
+        error = balance * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - target) / n
+        w = w - scale * np.bincount(column, error[row], minlength=1 << BITS)
+        w = np.sign(w) * np.maximum(np.abs(w) - RATE * SPARSE, 0)
         b -= RATE * error.sum()
     return w, b
 
@@ -242,5 +254,5 @@ def judge(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = S
         "toxic",
         F.col("good").alias("quality_label"),
         (1 - F.col("mild")).alias("toxic_label"),
-        ((F.col("quality") >= 0.5) & (F.col("toxic") < 0.5) & (F.col("mild") > 0.5)).alias("kept"),
+        ((F.col("quality") + F.col("good") >= 1) & (F.col("toxic") < 0.5) & (F.col("mild") > 0.5)).alias("kept"),
     )
