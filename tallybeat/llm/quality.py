@@ -27,9 +27,8 @@ BITS, SAMPLE_DOCS, STEPS, RATE, SPARSE = 18, 12_000, 200, 2.0, 0.002
 STEMS, FEWEST = (6, 8), 3
 #: Most documents with labels by hand that train a labeller, about.
 LABEL_DOCS = 12_000
-#: Abuse in two lists that overlap, so that neither labeller sees all.
-ABUSE_1 = "idiot stupid moron loser scum trash worthless dumb fool jerk imbecile vermin".split()
-ABUSE_2 = "pathetic disgusting clown scum moron idiot filth garbage creep liar trash ugly".split()
+#: Words of abuse.
+ABUSE = "idiot stupid moron loser scum trash worthless dumb jerk imbecile vermin pathetic disgusting clown filth creep liar".split()
 
 
 def vote(bad: Column, good: Column) -> Column:
@@ -54,8 +53,9 @@ def quality_votes(text: Column) -> dict[str, Column]:
     }
 
 
-#: Votes on toxicity, where 0 means toxic; a list that finds nothing has no opinion.
-TOXIC_VOTES = ["list_1", "list_2", "several", "taught_toxic"]
+#: Votes on toxicity, where 0 means toxic; a list that finds nothing has no
+#: opinion. The lists make one labeller: each for itself would count the same words again.
+TOXIC_VOTES = ["listed", "taught_toxic"]
 
 
 def label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> dict[tuple[int, ...], float]:
@@ -196,7 +196,7 @@ def judge(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = S
     texts = docs.select("doc_id", whole(F.col("text")).alias("text")).withColumn("text_key", F.xxhash64("text"))
     own_votes = quality_votes(F.col("text"))
     teachers = spark.sparkContext.broadcast(taught(texts, labels))
-    one, two = hashes_of(ABUSE_1), hashes_of(ABUSE_2)
+    abuse = hashes_of(ABUSE)
     native, names = list(own_votes), [*own_votes, *TOXIC_VOTES, "taught_quality"]
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -206,10 +206,10 @@ def judge(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = S
                 part = batch.slice(low, high - low)
                 h, sizes = word_hashes(part.column(2), lower=True, blank=MARKS)
                 of = np.repeat(np.arange(len(sizes)), sizes)
-                a, b = (np.bincount(of[np.isin(h, x)], minlength=len(sizes)) for x in (one, two))
+                hits = np.bincount(of[np.isin(h, abuse)], minlength=len(sizes))
                 row, column = features(part.column(2))
                 quality, mild = (taught_vote(m, row, column, len(sizes)) for m in teachers.value)
-                found = [np.where(x, 0, -1).astype(np.int32) for x in (a > 0, b > 0, a + b > 1)]
+                found = [np.where(hits > 0, 0, -1).astype(np.int32)]
                 kept = [part.column(i) for i in range(part.num_columns) if i != 2]
                 yield pa.RecordBatch.from_arrays(
                     kept + [pa.array(x) for x in (*found, mild, quality)], ["doc_id", "text_key", *names]
