@@ -105,7 +105,6 @@ def disclosing(docs: DataFrame, matched: DataFrame, disclosed: float = DISCLOSED
         docs.select(F.explode(terms(t.whole(F.col("text")))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_term"))
-        .join(both.select("term").distinct(), "term", "left_semi")
     )
     return (
         both.join(spread, "term")
