@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybeat.llm.text import whole
+from tallybeat.sources.tables import staged
 
 #: Longest context in bytes; documents per language that the trees are fitted on, about.
 ORDER, PER_LANG = 4, 400
@@ -145,7 +146,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     Without a labelled text there is no model: None.
     """
     rows = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     chosen = rows.join(sizes, "lang").filter(draw * F.col("n") < per_lang).filter(F.length("text") > 0)
     counted = (
