@@ -22,11 +22,11 @@ from tallybeat.llm.wordhash import BLANK, MARKS, MIX1, MIX2, buffers, slices, wo
 from tallybeat.sources.tables import staged
 
 #: Hash bits; documents, about, that the scorer is fitted on; steps and step size of the fit.
-BITS, SAMPLE_DOCS, STEPS, RATE, SPARSE = 18, 12_000, 200, 2.0, 0.002
+BITS, SAMPLE_DOCS, STEPS, RATE, SPARSE = 18, 4_000, 200, 2.0, 0.002
 #: Bytes of a word's beginning that are a feature of longer words; fewest texts of a feature.
 STEMS, FEWEST = (6, 8), 3
 #: Most documents with labels by hand that train a labeller, about.
-LABEL_DOCS = 12_000
+LABEL_DOCS = 4_000
 #: Words of abuse.
 ABUSE = "idiot stupid moron loser scum trash worthless dumb jerk imbecile vermin pathetic disgusting clown filth creep liar".split()
 
@@ -116,7 +116,10 @@ def fit(texts: pa.Array, target: np.ndarray) -> tuple[np.ndarray, float]:
 
     Proximal gradient steps, shorter for frequent features, on features of several texts.
     """
-    row, column = features(texts)
+    parts = [(low, features(texts[low:high])) for low, high in slices(texts)]
+    row = np.concatenate([np.zeros(0, np.int32), *[(low + r).astype(np.int32) for low, (r, _) in parts]])
+    column = np.concatenate([np.zeros(0, np.int32), *[c.astype(np.int32) for _, (_, c) in parts]])
+    del parts
     spread = np.bincount(column, minlength=1 << BITS)
     often = spread[column] >= FEWEST
     row, column = row[often], column[often]
