@@ -54,7 +54,7 @@ def with_starts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     body = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
     bounds = bounds - bounds[0]
     begins = bounds[:-1] + ORDER * np.arange(len(texts))
-    data = np.zeros(len(body) + ORDER * (len(texts) + 1), np.uint8)
+    data = np.zeros(len(body) + ORDER * max(len(texts), 1), np.uint8)
     data[np.arange(len(body)) + ORDER * np.repeat(np.arange(1, len(texts) + 1), np.diff(bounds))] = body
     return data, begins
 
@@ -190,7 +190,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
 def total_bits(model: Model, texts: pa.Array) -> np.ndarray:
     """Code length of each text in every language; long texts pass in chunks."""
     data, begins = with_starts(texts)
-    ends = np.append(begins[1:] - ORDER, len(data) - ORDER * 2)
+    ends = np.append(begins[1:] - ORDER, len(data) - ORDER)
     out = np.zeros((len(texts), len(model.langs)))
     for low in range(0, max(len(data) - ORDER, 0), CHUNK):
         part = data[low : low + CHUNK + ORDER]
