@@ -18,7 +18,8 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybeat.llm.text import whole
@@ -26,7 +27,7 @@ from tallybeat.llm.text import whole
 #: White space as the tokenizer understands it (Unicode White_Space), in a Java class.
 SPACE = r"\t-\r\x20\x85\xA0  -     　"
 #: Documents, about, whose words are counted, and most words that are folded once.
-SAMPLE_DOCS, FOLDED = 20_000, 130_000
+SAMPLE_DOCS, FOLDED = 10_000, 50_000
 NO_RANK = 2**31 - 1
 
 
@@ -53,14 +54,15 @@ def bucket(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def literal_map(spark: SparkSession, entries: dict[str, object], value_type: str) -> tuple[Column, int]:
+def literal_map(entries: dict[str, object], value_type: str) -> tuple[Column, int]:
     """A literal array of small maps and its length; the hash of a key names its cell."""
     count = max(1, len(entries))
-    keys = spark.createDataFrame([(k,) for k in entries], "k string").select("k", bucket(F.col("k"), count).alias("b"))
-    cells: list[dict[str, object]] = [{} for _ in range(count)]
-    for row in keys.collect():
-        cells[row.b][row.k] = entries[row.k]
-    text = json.dumps([c or None for c in cells], ensure_ascii=False, separators=(",", ":"))
+    cells: list[dict[str, object] | None] = [None] * count
+    for key, value in entries.items():
+        at = xxhash.xxh64_intdigest(key.encode(), 42)
+        at = (at - (1 << 64) if at >> 63 else at) % count
+        cells[at] = {**(cells[at] or {}), key: value}
+    text = json.dumps(cells, ensure_ascii=False, separators=(",", ":"))
     return F.from_json(F.lit(text), f"array<map<string,{value_type}>>"), count
 
 
@@ -151,11 +153,10 @@ def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded
     gives an empty result. A word of n bytes takes n steps of n, so one word of very many
     thousand letters is slow, but right.
     """
-    spark = docs.sparkSession
     names = {piece.decode("latin-1"): rank for rank, piece in ranks.pieces.items()}
-    table = literal_map(spark, names, "int")
+    table = literal_map(names, "int")
     pattern = java_pattern(ranks.pattern)
-    known = literal_map(spark, frequent(docs, pattern, table, sample_docs, folded), "array<int>")
+    known = literal_map(frequent(docs, pattern, table, sample_docs, folded), "array<int>")
     words = F.regexp_extract_all(whole(F.col("text")), F.lit(pattern), F.lit(0))
 
     def ids(known_cells: Column, rank_cells: Column) -> Column:
