@@ -21,12 +21,12 @@ CALENDAR_START = "2024-01-01"
 CALENDAR_END = "2026-12-31"
 
 # Exact money. Sums of doubles depend on the order in which rows arrive, sums of
-# decimals do not, so amounts stay decimal in every table. The widths are chosen so that
-# amount x rate, and the sum of USD x SHARE, fit in 38 digits without any rounding.
+# decimals do not, so amounts stay decimal in every table. USD holds any MONEY times any
+# FX_RATE, rounded half up to 8 decimals; USD times SHARE is exact in 38 digits.
 MONEY = "decimal(18,6)"  # amounts as reported
 FX_RATE = "decimal(18,10)"  # currency conversion
 VIEW_RATE = "decimal(12,8)"  # payment per view
-USD = "decimal(18,8)"  # converted amount of one row
+USD = "decimal(28,8)"  # converted amount of one row
 SHARE = "decimal(9,6)"  # part of an asset's revenue, 0..1
 
 # Platforms (id, name, type).

@@ -46,7 +46,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.step == "generate":
         lakehouse.generate_bronze(spark, args.listens, args.bronze)
     elif args.step == "inventory":
-        lakehouse.inventory(spark, args.bronze).show(100, truncate=False)
+        lakehouse.inventory(spark, args.bronze).show(lakehouse.EVERY, truncate=False)
     else:
         house = lakehouse.Lakehouse(spark, args.silver, args.gold, args.log)
         if args.step == "silver":

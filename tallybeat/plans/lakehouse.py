@@ -197,10 +197,14 @@ def generate_bronze(
         files.write_csv(rows.drop("rank") if "rank" in rows.columns else rows, f"{bronze}/{name}")
 
 
+#: More rows than a report has.
+EVERY = 2**31 - 2
+
+
 def show(reports: dict[str, DataFrame]) -> None:
     for title, rows in reports.items():
         print(title)
-        rows.show(100, truncate=False)
+        rows.show(EVERY, truncate=False)
 
 
 def inventory(spark: SparkSession, bronze: str) -> DataFrame:

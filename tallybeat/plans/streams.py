@@ -19,12 +19,29 @@ def active_catalog(tracks: DataFrame) -> DataFrame:
     )
 
 
+#: Parts of a recording's users that are joined with the catalog apart.
+SALTS = 16
+
+
 def active_listens(listens: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Listens to active tracks, cut to what counting needs."""
+    """Listens to active tracks, cut to what counting needs.
+
+    A catalog too large to broadcast is joined on the recording and a part of its users, so
+    a recording with very many listens is met by ``SALTS`` tasks; the narrow catalog is
+    repeated as often. That partitioning does not serve the counts after it, which deal
+    the rows anew by user.
+    """
     known = listens.filter(F.col("recording_mbid").isNotNull()).select(
         "user_id", "recording_mbid", "listened_at"
     )
-    return keep_members(known, active_catalog(tracks), "recording_mbid")
+    members = (
+        active_catalog(tracks)
+        .select("recording_mbid")
+        .distinct()
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    salted = known.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(members, ["recording_mbid", "_salt"], "left_semi").drop("_salt")
 
 
 def stream_monthly(listens: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -33,8 +50,9 @@ def stream_monthly(listens: DataFrame, tracks: DataFrame) -> DataFrame:
     A user's listens to a recording count once a minute. Events meet the catalog before
     anything is shuffled, and only three narrow columns travel: month, recording and the
     counts decide nothing about asset, artist and distributor, so those are added to the
-    few result rows at the end. Every shuffle is keyed by user as well as recording or
-    follows a partial count, so a recording with a third of all listens stays spread out.
+    few result rows at the end. Every shuffle is keyed by user, or a part of the users, as
+    well as recording or follows a partial count, so a recording with a third of all
+    listens stays spread out.
     """
     per_minute = (
         active_listens(listens, tracks)

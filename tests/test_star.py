@@ -215,3 +215,34 @@ def test_tolerant_counts(spark, namespace, tmp_path):
     assert [(row.row_count, row.status) for row in count_tables_tolerant(spark, names).collect()] == [
         (3, "OK"), (None, "ERROR"), (None, "ERROR"), (3, "OK"),
     ]
+
+
+def test_hot_recording_is_dealt_by_user_before_it_is_counted(spark):
+    """Without a broadcast the catalog is joined on recording and a part of its users."""
+    from tallybeat.plans import streams
+
+    listens = spark.range(20000).select(
+        F.col("id").alias("user_id"), F.lit("hot").alias("recording_mbid"), F.lit("2025-01-01 10:00:00").cast("timestamp").alias("listened_at")
+    )
+    tracks = spark.createDataFrame(
+        [("hot", "a", "b", "d", "ACTIVE")], "track_id string, asset_id string, artist_id string, distributor_id string, active_status string"
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = streams.stream_monthly(listens, tracks)
+        plan = plan_of(rows)
+        found = [(r.stream_count, r.unique_listeners) for r in rows.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == [(20000, 20000)]
+    assert "hashpartitioning(recording_mbid" in plan and "_salt" in plan and "hashpartitioning(user_id" in plan
+
+
+def test_large_amount_is_converted(spark):
+    from tallybeat.plans.silver import converted_amount
+
+    amount = spark.sql("SELECT 999999999999.5BD AS a, 1.0BD AS r").select(
+        F.col("a").cast("decimal(18,6)").alias("revenue_original"), F.col("r").cast("decimal(18,10)").alias("exchange_rate")
+    )
+    assert str(amount.select(converted_amount().alias("x")).first().x) == "999999999999.50000000"
