@@ -154,19 +154,23 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
         .mapInArrow(count_grams, "lang string, order int, gram bigint, n bigint")
         .groupBy("lang", "order", "gram")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .toArrow()
     )
-    if counted.empty:
+    if not counted.num_rows:
         return None
-    langs = sorted(counted["lang"].unique())
+    named = counted["lang"].combine_chunks().dictionary_encode()
+    given = named.dictionary.to_pylist()
+    langs = sorted(given)
+    lang = np.searchsorted(langs, given)[named.indices.to_numpy()]
+    orders, all_grams, all_n = (counted[c].to_numpy() for c in ("order", "gram", "n"))
     symbols: list[Tables] = []
     escapes: list[Tables] = []
     known: dict[int, np.ndarray] = {}
     for order in range(ORDER + 1):
-        part = counted[counted["order"] == order]
-        keys, row = np.unique(part["gram"].to_numpy().astype(np.uint64), return_inverse=True)
+        part = np.flatnonzero(orders == order)
+        keys, row = np.unique(all_grams[part].astype(np.uint64), return_inverse=True)
         seen = np.zeros((len(keys), len(langs)))
-        seen[row, np.searchsorted(langs, part["lang"].to_numpy())] = part["n"].to_numpy()
+        seen[row, lang[part]] = all_n[part]
         contexts, context = np.unique(keys >> np.uint64(8), return_inverse=True)
         total, kinds = np.zeros((len(contexts), len(langs))), np.zeros((len(contexts), len(langs)))
         np.add.at(total, context, seen)
