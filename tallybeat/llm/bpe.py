@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,16 +55,21 @@ def bucket(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def literal_map(entries: dict[str, object], value_type: str) -> tuple[Column, int]:
-    """A literal array of small maps and its length; the hash of a key names its cell."""
-    count = max(1, len(entries))
-    cells: list[dict[str, object] | None] = [None] * count
-    for key, value in entries.items():
+def literal_map(entries: Iterable[tuple[str, str]], size: int, value_type: str) -> tuple[Column, int]:
+    """A literal array of small maps and its length; the hash of a key names its cell.
+
+    Values are given as JSON, and the cells are built as JSON text, so that the driver holds
+    no object per entry.
+    """
+    count = max(1, size)
+    cells = [""] * count
+    for key, value in entries:
         at = xxhash.xxh64_intdigest(key.encode(), 42)
         at = (at - (1 << 64) if at >> 63 else at) % count
-        cells[at] = {**(cells[at] or {}), key: value}
-    text = json.dumps(cells, ensure_ascii=False, separators=(",", ":"))
-    return F.from_json(F.lit(text), f"array<map<string,{value_type}>>"), count
+        entry = f"{json.dumps(key, ensure_ascii=False)}:{value}"
+        cells[at] = f"{cells[at]},{entry}" if cells[at] else entry
+    text = ",".join(f"{{{cell}}}" if cell else "null" for cell in cells)
+    return F.from_json(F.lit(f"[{text}]"), f"array<map<string,{value_type}>>"), count
 
 
 def look_up(table: tuple[Column, int], key: Column) -> Column:
@@ -125,8 +131,8 @@ def as_bytes(word: Column) -> Column:
     return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
 
 
-def frequent(docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_docs: int, folded: int) -> dict[str, list[int]]:
-    """The most frequent words of about ``sample_docs`` documents with their ids."""
+def frequent(docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_docs: int, folded: int) -> pa.Table:
+    """word, ids (JSON): the most frequent words of about ``sample_docs`` documents, encoded."""
     rows = docs.count()
     share = min(1.0, sample_docs / max(rows, 1))
     top = (
@@ -139,10 +145,8 @@ def frequent(docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_do
         .limit(folded)
         .repartition(64)
     )
-    encoded = top.select(
-        "word", bound(ranks[0], lambda cells: folded_word(F.col("word"), (cells, ranks[1]))).alias("ids")
-    )
-    return {row.word: row.ids for row in encoded.collect()}
+    ids = bound(ranks[0], lambda cells: folded_word(F.col("word"), (cells, ranks[1])))
+    return top.select("word", F.to_json(ids).alias("ids")).toArrow()
 
 
 def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded: int = FOLDED) -> DataFrame:
@@ -153,10 +157,12 @@ def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded
     gives an empty result. A word of n bytes takes n steps of n, so one word of very many
     thousand letters is slow, but right.
     """
-    names = {piece.decode("latin-1"): rank for rank, piece in ranks.pieces.items()}
-    table = literal_map(names, "int")
+    names = ((piece.decode("latin-1"), str(rank)) for rank, piece in ranks.pieces.items())
+    table = literal_map(names, len(ranks.pieces), "int")
     pattern = java_pattern(ranks.pattern)
-    known = literal_map(frequent(docs, pattern, table, sample_docs, folded), "array<int>")
+    top = frequent(docs, pattern, table, sample_docs, folded)
+    pairs = ((word.as_py(), ids.as_py()) for word, ids in zip(top["word"], top["ids"], strict=True))
+    known = literal_map(pairs, top.num_rows, "array<int>")
     words = F.regexp_extract_all(whole(F.col("text")), F.lit(pattern), F.lit(0))
 
     def ids(known_cells: Column, rank_cells: Column) -> Column:

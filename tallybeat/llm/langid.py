@@ -188,6 +188,8 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
         known[order] = cost
         symbols.append(Tables.of(keys, cost.astype(np.float32)))
         escapes.append(Tables.of(contexts, leave.astype(np.float32)))
+    del counted, named, orders, all_grams, all_n
+    pa.default_memory_pool().release_unused()
     return Model(langs, symbols, escapes)
 
 
