@@ -496,12 +496,15 @@ def synth_revenue_by_country(r: Roles) -> DataFrame:
 # Files and ingest ----------------------------------------------------------------------------
 
 
+#: Files of a delivery; file i holds the events whose id leaves i.
+DELIVERED = 8
+
+
 def deliver(r: Roles) -> str:
-    """Events as a folder of numbered Parquet files, eight or one per two million rows."""
-    events = r.table("events")
-    parts = max(8, events.count() // 2_000_000)
+    """Events as a folder of numbered Parquet files."""
     path = run_dir(r.spark, "delivery")
-    events.repartitionByRange(parts, "event_id").write.parquet(path)
+    place = (F.col("event_id") % DELIVERED).cast("int")
+    r.table("events").repartitionById(DELIVERED, place).write.parquet(path)
     return path
 
 
@@ -519,21 +522,23 @@ def rows_per_file(r: Roles) -> DataFrame:
     return files.rows_per_file(r.spark, r.folder)
 
 
-@query()
+@query("""SELECT prefix, files, true AS has_bytes FROM (VALUES ('listens', 8), ('orders', 4), ('TOTAL', 12)) v(prefix, files)
+WHERE (SELECT count(*) FROM events) > 0 AND (SELECT count(*) FROM orders) > 0""")
 def bronze_inventory(r: Roles) -> DataFrame:
     target = run_dir(r.spark, "bronze")
     ingest.ingest(r.spark, deliver(r), f"{target}/listens", "2024-02-01")
-    tables_of_orders = r.table("orders")
-    files.write_csv(tables_of_orders, f"{target}/orders")
-    return quality.prefix_usage(files.list_files(r.spark, target))
+    files.write_csv(r.table("orders").repartition(4), f"{target}/orders")
+    usage = quality.prefix_usage(files.list_files(r.spark, target))
+    return usage.select("prefix", "files", (F.col("bytes") > 0).alias("has_bytes"))
 
 
-@query("SELECT unnest(range(greatest(8, (SELECT count(*) FROM events) // 2000000))) AS file_no")
+@query("SELECT DISTINCT event_id % 8 AS file_no FROM events")
 def numeric_file_order(r: Roles) -> DataFrame:
     return files.numbered(files.list_files(r.spark, deliver(r), "*.parquet")).select("file_no")
 
 
-@query()
+@query("""SELECT event_id % 8 AS file_no, count(*) AS row_count, min(event_id) AS first_event, max(event_id) AS last_event
+FROM events WHERE event_id % 8 < 3 GROUP BY ALL""")
 def first_n_files(r: Roles) -> DataFrame:
     first = files.first_files(r.spark, deliver(r), 3, ["event_id", "user_id"])
     return first.groupBy("file_no").agg(
@@ -556,18 +561,34 @@ def bronze_ingest(r: Roles) -> DataFrame:
     return runs[0].unionByName(runs[1])
 
 
-@query()
+@query("""SELECT '2024-02-01' AS ingested_date, event_id % 8 AS file_no, true AS has_bytes, count(*) AS landed_rows,
+  'LOADED' AS status FROM events GROUP BY ALL""")
 def ingest_manifest(r: Roles) -> DataFrame:
-    return ingest.ingest(r.spark, deliver(r), run_dir(r.spark, "bronze"), "2024-02-01")
+    entries = ingest.ingest(r.spark, deliver(r), run_dir(r.spark, "bronze"), "2024-02-01")
+    has_bytes = (F.col("bytes") > 0).alias("has_bytes")
+    return entries.select("ingested_date", "file_no", has_bytes, "landed_rows", "status")
 
 
-@query("""SELECT greatest(8, count(*) // 2000000) AS expected, greatest(8, count(*) // 2000000) AS found,
-  'OK' AS status FROM events""")
+@query("""SELECT 'OK' AS status, count(DISTINCT event_id % 8) AS files, count(*) AS landed_rows FROM events
+UNION ALL SELECT 'MISSING', 1, 0 UNION ALL SELECT 'EXTRA', 1, 0""")
 def reconcile_ingest(r: Roles) -> DataFrame:
-    source, target = deliver(r), run_dir(r.spark, "bronze")
-    entries = ingest.ingest(r.spark, source, target, "2024-02-01")
-    arrived = entries.filter(F.col("landed_rows") > 0)
-    return quality.reconcile_summary(files.list_files(r.spark, source, "*.parquet"), arrived, "file_name")
+    """Source against what lies in the target, with a file too many and one that never landed."""
+    source, target, date = deliver(r), run_dir(r.spark, "bronze"), "2024-02-01"
+    schema = r.table("events").schema
+    ingest.ingest(r.spark, source, target, date)
+    nothing = r.table("events").limit(0)
+    nothing.write.mode("append").parquet(source)
+    nothing.write.parquet(f"{target}/ingested_date={date}/source_file=stray.parquet")
+    status = quality.reconcile(
+        files.list_files(r.spark, source, "*.parquet"), files.list_files(r.spark, target, "*.parquet"), "file_name"
+    )
+    landed = files.read_listens(r.spark, target, date, schema.add("source_file", "string"))
+    counts = landed.groupBy(F.col("source_file").alias("file_name")).agg(F.count("*").alias("row_count"))
+    return (
+        tables.staged(status, "reconciled").join(counts, "file_name", "left")
+        .groupBy("status")
+        .agg(F.count("*").alias("files"), F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("landed_rows"))
+    )
 
 
 @query("SELECT '2024-02-01' AS ingested_date, count(*) AS landed_rows FROM events")

@@ -22,7 +22,8 @@ CALENDAR_END = "2026-12-31"
 
 # Exact money. Sums of doubles depend on the order in which rows arrive, sums of
 # decimals do not, so amounts stay decimal in every table. USD holds any MONEY times any
-# FX_RATE, rounded half up to 8 decimals; USD times SHARE is exact in 38 digits.
+# FX_RATE, rounded half up to 8 decimals; USD times SHARE is exact in 38 digits, so sums of USD are cast
+# back to USD before they are split (a sum of 10^20 or more is an error, not a rounded amount).
 MONEY = "decimal(18,6)"  # amounts as reported
 FX_RATE = "decimal(18,10)"  # currency conversion
 VIEW_RATE = "decimal(12,8)"  # payment per view

@@ -20,6 +20,7 @@ def main(arguments: list[str] | None = None) -> None:
 
     step = steps.add_parser("generate", help="write seeded reference data")
     step.add_argument("--listens", required=True, help="folder with listen files to take ids from")
+    step.add_argument("--date", help="take ids from this ingest date of the folder only")
     step.add_argument("--bronze", required=True)
 
     step = steps.add_parser("silver", help="conform bronze and count streams")
@@ -44,7 +45,8 @@ def main(arguments: list[str] | None = None) -> None:
         entries = ingest(spark, args.source, f"{args.bronze}/{lakehouse.LISTENS}", args.date)
         outcome(entries).show()
     elif args.step == "generate":
-        lakehouse.generate_bronze(spark, args.listens, args.bronze)
+        listens = f"{args.listens}/ingested_date={args.date}" if args.date else args.listens
+        lakehouse.generate_bronze(spark, listens, args.bronze)
     elif args.step == "inventory":
         lakehouse.inventory(spark, args.bronze).show(lakehouse.EVERY, truncate=False)
     else:

@@ -30,36 +30,16 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, values: Sequence[str]) -
 
 
 def fan_out_join(
-    rows: DataFrame,
-    details: DataFrame,
-    on: str,
-    spread_by: Sequence[str],
-    rows_per_split: int = 100_000,
-    most_heavy: int = 10_000,
+    rows: DataFrame, details: DataFrame, on: str, spread_by: Sequence[str], parts: int = 8
 ) -> DataFrame:
     """Inner 1:N join in which no single task has to expand a very long key.
 
     The cost of a fan-out is its output: a key with few rows on the left and millions of
-    details looks small to size-based skew handling. Keys with more than
-    ``rows_per_split`` details are therefore cut into that many parts by a hash of
-    ``spread_by``, and their left rows are repeated once per part. The list of heavy keys
-    has at most ``most_heavy`` rows, the longest keys first, which is what makes its
-    broadcast safe; a key beyond the list joins whole, and is then shorter than a
-    ``most_heavy``-th of the details. The details are read twice, so let them be a table.
+    details looks small to size-based skew handling. So the details of every key lie in
+    ``parts`` parts by a hash of ``spread_by``, each joined by itself, and the rows, which
+    should be the shorter side, are repeated once per part. All keys are treated alike and
+    the details are read once; raise ``parts`` for longer keys.
     """
-    heavy = F.broadcast(
-        details.groupBy(on)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > rows_per_split)
-        .orderBy(F.desc("_rows"), on)
-        .limit(most_heavy)
-        .select(on, F.ceil(F.col("_rows") / rows_per_split).alias("_parts"))
-    )
-    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
-    cut = details.join(heavy, on, "left").withColumn(
-        "_part", F.pmod(F.xxhash64(*spread_by), parts)
-    )
-    repeated = rows.join(heavy, on, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
-    )
-    return repeated.drop("_parts").join(cut.drop("_parts"), [on, "_part"], "inner").drop("_part")
+    cut = details.withColumn("_part", F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int"))
+    repeated = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return repeated.join(cut, [on, "_part"], "inner").drop("_part")

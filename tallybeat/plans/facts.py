@@ -87,7 +87,7 @@ def asset_revenue(unified: DataFrame) -> DataFrame:
 
 
 def contributor_revenue(
-    assets: DataFrame, mapping: DataFrame, rows_per_split: int = 100_000
+    assets: DataFrame, mapping: DataFrame, parts: int = 8
 ) -> DataFrame:
     """Each contributor's part of the revenue of the assets they worked on.
 
@@ -96,12 +96,12 @@ def contributor_revenue(
     many sales went into it, so only the mapping can be long for an asset.
     """
     shares = mapping.select("asset_id", "contributor_id", "role_in_asset", "allocation_percent")
-    joined = fan_out_join(assets, shares, "asset_id", ["contributor_id"], rows_per_split)
+    joined = fan_out_join(assets, shares, "asset_id", ["contributor_id"], parts)
     return joined.select(
         *PERIOD,
         "contributor_id",
         "role_in_asset",
         "revenue_usd",
         "allocation_percent",
-        (F.col("revenue_usd") * F.col("allocation_percent")).alias("allocated_revenue_usd"),
+        (F.col("revenue_usd").cast(k.USD) * F.col("allocation_percent")).alias("allocated_revenue_usd"),
     )

@@ -1,23 +1,30 @@
 """Incremental landing of Parquet files, file by file and safe to repeat.
 
-Rows land under ``ingested_date=.../source_file=...``. Spark moves such a folder into place
-when the job that wrote it succeeds, so a file whose folder is there has landed whole and a
-repeated run skips it; what a run that died had not moved yet is written anew, and a file
-that could not be read is tried again.
+Rows land under ``ingested_date=.../source_file=...`` by jobs that read strictly: a job either
+lands all rows of its files or none, so no file is ever there in part. What was tried is
+recorded under ``_manifest`` of the target, after its rows have landed. A run takes the files
+that the record does not call LOADED or EMPTY: new ones, those that could not be read, and
+those that a run that died had not recorded yet, whose folders are written anew.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallybeat.operators.joins import keep_strangers
-from tallybeat.sources.files import list_files, parquet_schema, readable, rows_per_file
+from tallybeat.sources.files import list_files, parquet_schema
 from tallybeat.sources.tables import staged
 
 PATTERN = "*.parquet"
+ENTRY = (
+    "ingested_date string, file_no bigint, file_name string, bytes bigint, landed_rows bigint, status string"
+)
+#: How Spark names a file that it cannot read.
+UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
 
 
 def require_path(spark: SparkSession, path: str) -> None:
@@ -26,28 +33,10 @@ def require_path(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(path)
 
 
-def landed(spark: SparkSession, target: str, ingested_date: str, schema: StructType) -> DataFrame:
-    """Rows of every file landed for a date, counted from footers; empty before the first run."""
-    if not _exists(spark, target):
-        return spark.createDataFrame([], "file_name string, landed_rows bigint")
-    return (
-        spark.read.schema(_landed_schema(schema))
-        .parquet(target)
-        .filter(F.col("ingested_date") == ingested_date)
-        .groupBy(F.col("source_file").alias("file_name"))
-        .agg(F.count("*").alias("landed_rows"))
-    )
-
-
 def new_files(spark: SparkSession, source: str, target: str, ingested_date: str) -> DataFrame:
-    """Source files without a folder under the date; decided by listings, nothing is opened."""
-    files = list_files(spark, source, PATTERN)
-    folder = f"{target}/ingested_date={ingested_date}"
-    return (
-        keep_strangers(files, list_files(spark, folder, PATTERN), "file_name")
-        if _exists(spark, folder)
-        else files
-    )
+    """Source files that are not recorded as landed for the date; nothing is opened."""
+    finished = manifest(spark, target, ingested_date).filter(F.col("status") != "FAILED")
+    return keep_strangers(list_files(spark, source, PATTERN), finished, "file_name")
 
 
 def ingest(
@@ -66,54 +55,43 @@ def ingest(
     require_path(spark, source)
     schema = schema or parquet_schema(spark, source)
     place = F.struct(F.coalesce("file_no", F.lit(-1)).alias("no"), "file_name")
-    waiting = staged(
-        new_files(spark, source, target, ingested_date).select("path", place.alias("at")), "waiting"
-    )
+    fresh = new_files(spark, source, target, ingested_date)
+    numbered = fresh.withColumn("at", place).select("path", "at", "file_no", "file_name", "length")
+    waiting = staged(numbered.repartitionByRange("at").sortWithinPartitions("at"), "waiting")
     done = None
     while True:
         rest = waiting
         if done is not None:
+            # Files of the listing are sorted, so this skips those that hold earlier names only.
             last = F.struct(F.lit(done.no).cast("bigint").alias("no"), F.lit(done.file_name).alias("file_name"))
-            rest = waiting.filter(F.col("at") > last)
+            rest = waiting.filter((F.col("at.no") >= done.no) & (F.col("at") > last))
         batch = rest.orderBy("at").limit(files_per_pass).collect()  # names only, bounded
         if not batch:
             break
-        _land(spark, [row.path for row in batch], target, ingested_date, schema)
+        broken = set(_land(spark, [row.path for row in batch], target, ingested_date, schema))
+        _record(spark, [row for row in batch if row.path in broken], None, target, ingested_date)
+        whole = [row for row in batch if row.path not in broken]
+        if whole:
+            counts = (
+                spark.read.schema(schema)
+                .parquet(*[row.path for row in whole])
+                .groupBy(F.col("_metadata.file_name").alias("file_name"))
+                .agg(F.count("*").alias("row_count"))
+            )
+            _record(spark, whole, counts, target, ingested_date)
         done = batch[-1]["at"]
-    return manifest(spark, source, target, ingested_date, schema)
+    return manifest(spark, target, ingested_date)
 
 
-def manifest(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    ingested_date: str,
-    schema: StructType | None = None,
-) -> DataFrame:
-    """One row per source file: LOADED, PARTIAL (broken inside), EMPTY or FAILED."""
-    schema = schema or parquet_schema(spark, source)
-    files = list_files(spark, source, PATTERN).select("path", "file_name", "file_no", "length")
-    arrived = landed(spark, target, ingested_date, schema)
-    there = (
-        files.join(arrived, "file_name")
-        .join(rows_per_file(spark, source, schema), "file_name", "left")
-        .withColumn(
-            "status",
-            F.when(F.col("landed_rows") == F.col("row_count"), "LOADED").otherwise("PARTIAL"),
-        )
-    )
-    absent = readable(keep_strangers(files, arrived, "file_name")).select(
-        *files.columns,
-        F.lit(0).cast("bigint").alias("landed_rows"),
-        F.when(F.col("opens"), "EMPTY").otherwise("FAILED").alias("status"),
-    )
-    return there.select(*files.columns, "landed_rows", "status").unionByName(absent).select(
-        F.lit(ingested_date).alias("ingested_date"),
-        "file_no",
-        "file_name",
-        F.col("length").alias("bytes"),
-        "landed_rows",
-        "status",
+def manifest(spark: SparkSession, target: str, ingested_date: str) -> DataFrame:
+    """One row per file tried for a date: LOADED, EMPTY or FAILED; empty before the first run."""
+    path = f"{target}/_manifest"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], ENTRY)
+    tried = spark.read.schema(ENTRY).parquet(path).filter(F.col("ingested_date") == ingested_date)
+    best = F.max(F.struct((F.col("status") != "FAILED").alias("landed"), "bytes", "landed_rows", "status"))
+    return tried.groupBy("ingested_date", "file_no", "file_name").agg(best.alias("best")).select(
+        "ingested_date", "file_no", "file_name", "best.bytes", "best.landed_rows", "best.status"
     )
 
 
@@ -128,23 +106,57 @@ def outcome(entries: DataFrame) -> DataFrame:
 
 def _land(
     spark: SparkSession, paths: list[str], target: str, ingested_date: str, schema: StructType
-) -> None:
-    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths)
-    (
-        rows.select(
-            *schema.fieldNames(),
-            F.lit(ingested_date).alias("ingested_date"),
-            F.col("_metadata.file_name").alias("source_file"),
+) -> list[str]:
+    """Land files in one job; returns the paths of those that cannot be read.
+
+    A job that meets an unreadable file lands nothing. Its files are then tried in halves,
+    down to the single file, so a broken file costs a few jobs and the others land.
+    """
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", False).parquet(*paths)
+    try:
+        (
+            rows.select(
+                *schema.fieldNames(),
+                F.lit(ingested_date).alias("ingested_date"),
+                F.col("_metadata.file_name").alias("source_file"),
+            )
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("ingested_date", "source_file")
+            .parquet(target)
         )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingested_date", "source_file")
-        .parquet(target)
+    except (PySparkException, Py4JJavaError) as error:
+        if not any(name in str(error) for name in UNREADABLE):
+            raise
+        if len(paths) == 1:
+            return paths
+        half = len(paths) // 2
+        return [
+            path
+            for part in (paths[:half], paths[half:])
+            for path in _land(spark, part, target, ingested_date, schema)
+        ]
+    return []
+
+
+def _record(
+    spark: SparkSession, files: list, counts: DataFrame | None, target: str, ingested_date: str
+) -> None:
+    """Append what became of the files of a pass; without counts they have failed."""
+    if not files:
+        return
+    tried = spark.createDataFrame(
+        [(ingested_date, row.file_no, row.file_name, row.length) for row in files],
+        "ingested_date string, file_no bigint, file_name string, bytes bigint",
     )
-
-
-def _landed_schema(schema: StructType) -> StructType:
-    return StructType(list(schema.fields)).add("ingested_date", "string").add("source_file", "string")
+    if counts is None:
+        entries = tried.select("*", F.lit(0).cast("bigint").alias("landed_rows"), F.lit("FAILED").alias("status"))
+    else:
+        landed = F.coalesce("row_count", F.lit(0)).cast("bigint")
+        entries = tried.join(counts, "file_name", "left").select(
+            *tried.columns, landed.alias("landed_rows"), F.when(landed > 0, "LOADED").otherwise("EMPTY").alias("status")
+        )
+    entries.coalesce(1).write.mode("append").parquet(f"{target}/_manifest")  # one pass, bounded
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybeat import constants as k
+from tallybeat.operators.joins import fan_out_join
 from tallybeat.operators.ranking import top
 
 
@@ -45,11 +47,10 @@ def top_contributors_from_assets(unified: DataFrame, mapping: DataFrame, n: int
     per asset before it is split: the fan-out then runs over assets, not asset periods.
     """
     per_asset = unified.groupBy("asset_id").agg(F.sum("revenue_usd").alias("revenue_usd"))
-    parts = per_asset.join(
-        mapping.select("asset_id", "contributor_id", "allocation_percent"), "asset_id"
-    ).select(
+    shares = mapping.select("asset_id", "contributor_id", "allocation_percent")
+    parts = fan_out_join(per_asset, shares, "asset_id", ["contributor_id"]).select(
         "contributor_id",
-        (F.col("revenue_usd") * F.col("allocation_percent")).alias("allocated_revenue_usd"),
+        (F.col("revenue_usd").cast(k.USD) * F.col("allocation_percent")).alias("allocated_revenue_usd"),
     )
     return top_contributors(parts, n)
 

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,11 +69,14 @@ def read_listens(
     ingested_date: str | None = None,
     schema: StructType | str = LISTENS,
 ) -> DataFrame:
-    """Landed listens; with a date only that ``ingested_date=`` folder is listed and read."""
+    """Landed listens; with a date only that ``ingested_date=`` folder is listed and read.
+
+    A date that has not landed is an error, not an empty table.
+    """
     declared = schema if isinstance(schema, StructType) else DataType.fromDDL(schema)
     dated = StructType(list(declared.fields)).add("ingested_date", "string")
-    rows = spark.read.schema(dated).parquet(root)
-    return rows if ingested_date is None else rows.filter(F.col("ingested_date") == ingested_date)
+    reader = spark.read.schema(dated).option("basePath", root)
+    return reader.parquet(root if ingested_date is None else f"{root}/ingested_date={ingested_date}")
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -156,27 +158,3 @@ def first_files(spark: SparkSession, path: str, n: int, columns: Sequence[str])
         F.col("_metadata.row_index").alias("row_no"),
     )
 
-
-def readable(files: DataFrame) -> DataFrame:
-    """Add ``opens``: whether the Parquet footer of each listed file can be read.
-
-    Only for the few files that gave no rows, to tell an empty file from a broken one.
-    """
-
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs
-        import pyarrow.parquet
-
-        def opens(path: str) -> bool:
-            try:
-                system, inner = pyarrow.fs.FileSystem.from_uri(path.replace("s3a://", "s3://"))
-                pyarrow.parquet.read_metadata(inner, filesystem=system)
-                return True
-            except (OSError, ValueError):  # pyarrow's errors derive from these
-                return False
-
-        for batch in batches:
-            yield batch.assign(opens=[opens(path) for path in batch["path"]])
-
-    schema = StructType(list(files.schema.fields)).add("opens", "boolean")
-    return files.mapInPandas(probe, schema)

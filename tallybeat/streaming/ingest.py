@@ -1,9 +1,9 @@
 """Landing of Parquet files as a file stream, for sources that never stop growing.
 
 The checkpoint remembers the files by name and the sink commits each micro-batch once, so
-a restart after any failure neither repeats nor loses rows. A stream looks at each name
-once: deliver the repaired version of a broken file under a new name, or use the batch
-form in ``plans.ingest``, which tries it again.
+a restart after any failure neither repeats nor loses rows. A file that cannot be read stops
+the stream before its batch is committed; after the file is repaired, a restart reads the
+batch again. The batch form in ``plans.ingest`` lands the others meanwhile.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def land_new_files(
     arriving = (
         spark.readStream.schema(schema)
         .option("fileNameOnly", True)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source)
     )

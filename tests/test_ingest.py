@@ -4,6 +4,7 @@ import shutil
 
 import pytest
 from conftest import rows_of
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallybeat.operators import quality
@@ -95,6 +96,62 @@ def test_dates_are_separate(spark, source, tmp_path):
     assert files.read_listens(spark, target, schema=schema).count() == 46
 
 
+def damaged(spark, folder, name):
+    """A file of ten row groups, broken in the middle; returns its whole bytes."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder.mkdir(exist_ok=True)
+    pq.write_table(pa.table({"user_id": pa.array(range(1000), pa.int64())}), folder / name, row_group_size=100, compression="NONE", use_dictionary=False)
+    group = pq.ParquetFile(folder / name).metadata.row_group(6).column(0)
+    whole = (folder / name).read_bytes()
+    at, size = group.data_page_offset, group.total_compressed_size
+    (folder / name).write_bytes(whole[:at] + b"\xff" * size + whole[at + size :])
+    return whole
+
+
+def test_half_broken_file_lands_after_repair(spark, source, tmp_path):
+    """No row of a file lands before all of them can; the other files do not wait."""
+    target = str(tmp_path / "bronze")
+    whole = damaged(spark, source, "300.parquet")
+    found = ingest.ingest(spark, str(source), target, DATE)
+    assert rows_of(ingest.outcome(found), "status", "files", "landed_rows") == [("FAILED", 1, 0), ("LOADED", 3, 23)]
+    assert users(spark, target) == expected(9, 10, 101)
+    (source / "300.parquet").write_bytes(whole)
+    found = ingest.ingest(spark, str(source), target, DATE)
+    assert rows_of(ingest.outcome(found), "status", "files", "landed_rows") == [("LOADED", 4, 1023)]
+    assert users(spark, target) == sorted([*expected(9, 10, 101), *range(1000)])
+
+
+def test_second_run_opens_no_old_file(spark, source, tmp_path):
+    target = str(tmp_path / "bronze")
+    ingest.ingest(spark, str(source), target, DATE)
+    schema = spark.read.parquet(str(source)).schema
+    (source / "9.parquet").write_bytes(b"no longer a Parquet file")
+    again = ingest.ingest(spark, str(source), target, DATE, schema)
+    assert rows_of(ingest.outcome(again), "status", "files", "landed_rows") == [("LOADED", 3, 23)]
+
+
+def test_stream_stops_at_a_broken_file_and_lands_it_after_repair(spark, source, tmp_path):
+    places = [str(tmp_path / name) for name in ("target", "checkpoint")]
+    whole = damaged(spark, source, "300.parquet")
+    with pytest.raises(StreamingQueryException):
+        streaming.land_new_files(spark, str(source), *places, DATE, "user_id bigint")
+    (source / "300.parquet").write_bytes(whole)
+    streaming.land_new_files(spark, str(source), *places, DATE, "user_id bigint")
+    assert users(spark, places[0]) == sorted([*expected(9, 10, 101), *range(1000)])
+
+
+def test_one_date_is_read_by_its_path(spark, source, tmp_path):
+    target = str(tmp_path / "bronze")
+    for day in (DATE, "2025-02-02"):
+        ingest.ingest(spark, str(source), target, day)
+    one = files.read_listens(spark, target, DATE, "user_id bigint")
+    assert len(one.inputFiles()) == 3 and all(f"ingested_date={DATE}" in name for name in one.inputFiles())
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.read_listens(spark, target, "2025-02-30", "user_id bigint")
+
+
 def test_missing_source_fails_early(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         ingest.ingest(spark, str(tmp_path / "none"), str(tmp_path / "bronze"), DATE)
