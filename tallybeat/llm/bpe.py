@@ -1,6 +1,6 @@
 """Byte-level BPE in Spark: ranked merges folded over the bytes of distinct words.
 
-Words are the matches of the tokenizer's pattern. The ranks are one literal in the plan,
+Words are the matches of the tokenizer's pattern. The ranks are one constant of the plan,
 a bucketed map: an array indexed by a hash whose cells are tiny maps from bytes to rank,
 so a look-up costs the same at any size. The pieces of a word start as its single bytes;
 each step of the fold joins the leftmost pair of neighbours whose bytes have the lowest
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybeat.llm.text import whole
@@ -69,7 +69,16 @@ def literal_map(entries: Iterable[tuple[str, str]], size: int, value_type: str)
         entry = f"{json.dumps(key, ensure_ascii=False)}:{value}"
         cells[at] = f"{cells[at]},{entry}" if cells[at] else entry
     text = ",".join(f"{{{cell}}}" if cell else "null" for cell in cells)
-    return F.from_json(F.lit(f"[{text}]"), f"array<map<string,{value_type}>>"), count
+    return constant(f"[{text}]", lambda t: F.from_json(t, f"array<map<string,{value_type}>>")), count
+
+
+def constant(text: str, make: Callable[[Column], Column]) -> Column:
+    """A value made from a text, as a scalar subquery.
+
+    It is computed once and reaches the tasks as a literal does, but in Spark's compact rows,
+    and no description of the plan spells it out.
+    """
+    return SparkSession.active().createDataFrame([(text,)], "text string").select(make(F.col("text"))).scalar()
 
 
 def look_up(table: tuple[Column, int], key: Column) -> Column:
@@ -169,13 +178,15 @@ def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded
         by_fold = lambda w: folded_word(w, (rank_cells, table[1]))
         return F.flatten(F.transform(words, lambda w: F.coalesce(look_up((known_cells, known[1]), w), by_fold(w))))
 
-    return docs.select("doc_id", bound(known[0], lambda k: bound(table[0], lambda r: ids(k, r))).alias("ids"))
+    tables = F.struct(known[0].alias("known"), table[0].alias("ranks"))
+    both = bound(tables, lambda t: bound(t["known"], lambda k: bound(t["ranks"], lambda r: ids(k, r))))
+    return docs.select("doc_id", both.alias("ids"))
 
 
 def joined_bytes(ids: Column, cells: list[str]) -> Column:
     """The bytes that ``cells`` gives in hex for each id, one after another."""
-    table = F.split(F.lit(",".join(cells)), ",")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
+    table = constant(",".join(cells), lambda text: F.split(text, ","))
+    return F.unhex(bound(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
 
 
 def decode(ids: Column, ranks: Ranks) -> Column:
