@@ -56,10 +56,12 @@ def bucket(key: Column, buckets: int) -> Column:
 
 
 def literal_map(entries: Iterable[tuple[str, str]], size: int, value_type: str) -> tuple[Column, int]:
-    """A literal array of small maps and its length; the hash of a key names its cell.
+    """A constant array of small maps and its length; the hash of a key names its cell.
 
     Values are given as JSON, and the cells are built as JSON text, so that the driver holds
-    no object per entry.
+    no object per entry. The array is a scalar subquery: computed once, it reaches the tasks
+    as a literal does, but in Spark's compact rows, and no description of the plan spells it
+    out. Such a subquery may not stand in a lambda: select it first, then use its column once.
     """
     count = max(1, size)
     cells = [""] * count
@@ -69,16 +71,8 @@ def literal_map(entries: Iterable[tuple[str, str]], size: int, value_type: str)
         entry = f"{json.dumps(key, ensure_ascii=False)}:{value}"
         cells[at] = f"{cells[at]},{entry}" if cells[at] else entry
     text = ",".join(f"{{{cell}}}" if cell else "null" for cell in cells)
-    return constant(f"[{text}]", lambda t: F.from_json(t, f"array<map<string,{value_type}>>")), count
-
-
-def constant(text: str, make: Callable[[Column], Column]) -> Column:
-    """A value made from a text, as a scalar subquery.
-
-    It is computed once and reaches the tasks as a literal does, but in Spark's compact rows,
-    and no description of the plan spells it out.
-    """
-    return SparkSession.active().createDataFrame([(text,)], "text string").select(make(F.col("text"))).scalar()
+    made = F.from_json("text", f"array<map<string,{value_type}>>")
+    return SparkSession.active().createDataFrame([(f"[{text}]",)], "text string").select(made).scalar(), count
 
 
 def look_up(table: tuple[Column, int], key: Column) -> Column:
@@ -154,8 +148,8 @@ def frequent(docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_do
         .limit(folded)
         .repartition(64)
     )
-    ids = bound(ranks[0], lambda cells: folded_word(F.col("word"), (cells, ranks[1])))
-    return top.select("word", F.to_json(ids).alias("ids")).toArrow()
+    ids = bound(F.col("_ranks"), lambda cells: folded_word(F.col("word"), (cells, ranks[1])))
+    return top.select("word", ranks[0].alias("_ranks")).select("word", F.to_json(ids).alias("ids")).toArrow()
 
 
 def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded: int = FOLDED) -> DataFrame:
@@ -178,15 +172,15 @@ def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded
         by_fold = lambda w: folded_word(w, (rank_cells, table[1]))
         return F.flatten(F.transform(words, lambda w: F.coalesce(look_up((known_cells, known[1]), w), by_fold(w))))
 
-    tables = F.struct(known[0].alias("known"), table[0].alias("ranks"))
-    both = bound(tables, lambda t: bound(t["known"], lambda k: bound(t["ranks"], lambda r: ids(k, r))))
-    return docs.select("doc_id", both.alias("ids"))
+    found = bound(F.col("_known"), lambda k: bound(F.col("_ranks"), lambda r: ids(k, r)))
+    held = docs.select("doc_id", "text", known[0].alias("_known"), table[0].alias("_ranks"))
+    return held.select("doc_id", found.alias("ids"))
 
 
 def joined_bytes(ids: Column, cells: list[str]) -> Column:
     """The bytes that ``cells`` gives in hex for each id, one after another."""
-    table = constant(",".join(cells), lambda text: F.split(text, ","))
-    return F.unhex(bound(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
+    table = F.split(F.lit(",".join(cells)), ",")
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
 
 
 def decode(ids: Column, ranks: Ranks) -> Column:
