@@ -34,10 +34,12 @@ from tallybeat.sources.tables import staged
 #: Words in a window; rounds; most words in a symbol; symbols that name an anchor.
 WINDOW, ROUNDS, SPAN, NAMED = 20, 2, 6, 3
 LAST = 2**63 - 1
-#: Hashes of texts that tell rows of one id apart, and more windows than a segment can
-#: have; both are powers of two, packed below the start of a segment.
-KEYS, MOST_WINDOWS = 1 << 16, 1 << 8
-PACKED = 24
+#: More windows than a segment can have, a power of two; their number is packed below the
+#: start of a segment.
+PACKED = 8
+MOST_WINDOWS = 1 << PACKED
+#: Most repeated ids that are listed; if there are more, every row has a text key.
+LISTED = 10_000
 
 
 def renamed_runs(names, spans, docs, l, r):
@@ -166,35 +168,48 @@ def segments(texts: pa.Array, width: int = WINDOW) -> tuple[np.ndarray, ...]:
     return doc, begin - first[doc], name.view(np.int64), segment.view(np.int64), n
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """uid, text_key, text: rows of one id and different texts stay apart; null ids come last."""
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("uid"),
-        F.pmod(F.hash(whole(F.col("text"))), F.lit(KEYS)).alias("text_key"),
-        whole(F.col("text")).alias("text"),
-    )
+def repeated_ids(docs: DataFrame) -> DataFrame | None:
+    """uid of the ids that several rows have; None if they are more than ``LISTED``."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("uid")).filter("uid is not null")
+    several = staged(ids.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("uid"), "substring-ids")
+    return several if several.count() <= LISTED else None
+
+
+def keyed(docs: DataFrame, several: DataFrame | None) -> DataFrame:
+    """uid, text_key, text: rows of one id and different texts stay apart; null ids come last.
+
+    The key is a whole 64-bit hash, so that even the rows of a very common id keep apart.
+    An id of one row needs none: its key is 0, which takes no room where segments travel.
+    """
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("uid"), whole(F.col("text")).alias("text"))
+    key = F.xxhash64("text")
+    if several is not None:
+        rows = rows.join(F.broadcast(several.withColumnRenamed("uid", "several")), F.col("uid") == F.col("several"), "left")
+        key = F.when((F.col("uid") == LAST) | F.col("several").isNotNull(), key).otherwise(0)
+    return rows.select("uid", key.alias("text_key"), "text")
 
 
-def described(docs: DataFrame, width: int) -> DataFrame:
-    """name, segment, uid, mark: a row per segment; a mark packs start, windows and text_key."""
+def described(rows: DataFrame, width: int) -> DataFrame:
+    """name, segment, uid, mark, text_key: a row per segment; a mark packs start and windows."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uid, key = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            uid, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for low, high in slices(batch.column(2)):
                 doc, start, name, segment, n = segments(batch.column(2)[low:high], width)
-                mark = (start * MOST_WINDOWS + n) * KEYS + key[low + doc]
+                mark = start * MOST_WINDOWS + n
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (name, segment, uid[low + doc], mark)], ["name", "segment", "uid", "mark"]
+                    [pa.array(c) for c in (name, segment, uid[low + doc], mark, key[low + doc])],
+                    ["name", "segment", "uid", "mark", "text_key"],
                 )
 
-    return keyed(docs).mapInArrow(describe, "name bigint, segment bigint, uid bigint, mark bigint")
+    return rows.mapInArrow(describe, "name bigint, segment bigint, uid bigint, mark bigint, text_key bigint")
 
 
-def windows_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def windows_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """name, window (64-bit hash), place: every window of the wanted segments."""
     lists = wanted.groupBy("uid", "text_key").agg(F.collect_set(F.struct("name", "mark")).alias("parts"))
-    rows = keyed(docs).join(lists, ["uid", "text_key"])
+    rows = rows.join(lists, ["uid", "text_key"])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,23 +221,24 @@ def windows_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 of = np.repeat(np.arange(high - low), np.asarray(parts.value_lengths()))
                 flat = parts.flatten()
                 name, mark = flat.field("name").to_numpy(), flat.field("mark").to_numpy()
-                n, start = mark // KEYS % MOST_WINDOWS, mark // KEYS // MOST_WINDOWS
+                n, start = mark % MOST_WINDOWS, mark // MOST_WINDOWS
                 start = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 of = np.repeat(of, n)
                 begin = first[of] + start
-                mark = (start * MOST_WINDOWS + 1) * KEYS + keys[low + of]
+                mark = start * MOST_WINDOWS + 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(name, n)),
                         pa.array(Ranges(h).hashed(begin, begin + width).view(np.int64)),
                         pa.array(ids[low + of]),
                         pa.array(mark),
+                        pa.array(keys[low + of]),
                     ],
-                    ["name", "window", "uid", "mark"],
+                    ["name", "window", "uid", "mark", "text_key"],
                 )
 
     return rows.select("uid", "text_key", "text", "parts").mapInArrow(
-        explode, "name bigint, window bigint, uid bigint, mark bigint"
+        explode, "name bigint, window bigint, uid bigint, mark bigint, text_key bigint"
     )
 
 
@@ -232,10 +248,10 @@ def after(first: Column) -> Column:
     return (F.col("uid") > first["uid"]) | (F.col("uid") == first["uid"]) & later
 
 
-def repeated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """uid, text_key, start, size: runs of words that windows seen earlier cover."""
-    rows = described(docs, width)
-    place = F.struct("uid", "mark")
+def repeated(texts: DataFrame, width: int = WINDOW) -> DataFrame:
+    """uid, text_key, start, size: runs of words that windows seen earlier cover, of ``keyed`` rows."""
+    rows = described(texts, width)
+    place = F.struct("uid", "mark", "text_key")
     several = staged(
         rows.groupBy("name").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("name"), "substring-names"
     )
@@ -244,9 +260,9 @@ def repeated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     whole_ = shared.join(kinds, ["name", "segment"]).filter(after(F.col("first")))
     partly = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("name")
     wanted = kinds.join(partly, "name", "left_semi").select(
-        "name", "first.uid", "first.mark", F.expr(f"first.mark % {KEYS}").cast("int").alias("text_key")
+        "name", "first.uid", "first.mark", "first.text_key"
     )
-    windows = staged(windows_of(docs, wanted, width), "substring-windows")
+    windows = staged(windows_of(texts, wanted, width), "substring-windows")
     earliest = (
         windows.groupBy("name", "window")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -255,13 +271,13 @@ def repeated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     )
     single = windows.join(earliest, ["name", "window"]).filter(after(F.col("first")))
     return (
-        whole_.select("uid", "mark")
-        .unionByName(single.select("uid", "mark"))
+        whole_.select("uid", "text_key", "mark")
+        .unionByName(single.select("uid", "text_key", "mark"))
         .select(
             "uid",
-            F.expr(f"mark % {KEYS}").cast("int").alias("text_key"),
+            "text_key",
             F.expr(f"shiftright(mark, {PACKED})").cast("int").alias("start"),
-            F.expr(f"shiftright(mark, 16) % {MOST_WINDOWS} + {width - 1}").cast("int").alias("size"),
+            F.expr(f"mark % {MOST_WINDOWS} + {width - 1}").cast("int").alias("size"),
         )
     )
 
@@ -285,14 +301,15 @@ def removed(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     by one space.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = keyed(docs, repeated_ids(docs))
     found = (
-        repeated(docs, width)
+        repeated(texts, width)
         .groupBy("uid", "text_key")
         .agg(F.collect_set(F.struct("start", "size")).alias("ranges"))
         .withColumnsRenamed({"uid": "found_uid", "text_key": "found_key"})
     )
     rows = (
-        keyed(docs)
+        texts
         .join(found, (F.col("uid") == F.col("found_uid")) & (F.col("text_key") == F.col("found_key")), "left")
         .select(F.nullif("uid", F.lit(LAST)).cast(kind).alias("doc_id"), "text", "ranges")
     )

@@ -247,6 +247,43 @@ def test_repeated_passages(docs, empty):
     assert substrings.removed(empty).count() == 0
 
 
+def without_repeats(rows):
+    """Plain version: (doc_id, words, removed, digest) for (doc_id, text), null ids last."""
+    own = lambda i: 2**63 - 1 if i is None else i
+    seen, out = {}, []
+    windows = lambda w: ((s, tuple(w[s : s + 20])) for s in range(len(w) - 19))
+    for i, t in rows:
+        for s, key in windows(split(t)):
+            seen[key] = min(seen.get(key, (own(i), s)), (own(i), s))
+    for i, t in rows:
+        w = split(t)
+        gone = {s + d for s, key in windows(w) if seen[key] < (own(i), s) for d in range(20)}
+        kept = " ".join(x for n, x in enumerate(w) if n not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("listed", [10_000, 0])
+def test_many_texts_of_one_id_stay_apart(spark, monkeypatch, listed):
+    """Texts whose hashes agree in their low 16 bits, under null and under one repeated id."""
+    monkeypatch.setattr(substrings, "LISTED", listed, raising=False)
+    rng = np.random.default_rng(8)
+    shared = " ".join(f"s{i}" for i in range(30))
+    plain = [" ".join(rng.choice(5000, int(rng.integers(25, 60))).astype(str)) for _ in range(1500)]
+    all_ = plain[:750] + [" ".join(rng.choice(5000, 200).astype(str)) + " " + shared for _ in range(750)]
+    low = spark.createDataFrame([(x,) for x in all_], "text string").select(
+        "text", *[F.pmod(h("text"), F.lit(1 << 16)).alias(k) for k, h in (("a", F.hash), ("b", F.xxhash64))]
+    )
+    low = low.collect()
+    twice = [{v for v, n in Counter(r[k] for r in low).items() if n > 1} for k in "ab"]
+    equal = [r.text for r in low if r.a in twice[0] or r.b in twice[1]]
+    assert all(twice) and any(x.endswith(shared) for x in equal) and not all(x.endswith(shared) for x in equal)
+    rows = [(0, shared)] + [(i, x) for x in equal + plain[750:760] for i in (None, 7)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = substrings.removed(table).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    same(got, without_repeats(rows))
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(2)
     h = rng.integers(0, 4, 3000).astype(np.uint64)
