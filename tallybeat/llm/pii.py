@@ -1,16 +1,19 @@
 """Personal data: fixed patterns, and terms that give a protected value away.
 
 A protected value is one that the patterns find (an address, a number). A term that
-stands beside a value discloses it if seeing the term tells the value: their pointwise
+shares documents with a value discloses it if seeing the term tells the value: their pointwise
 mutual information, from documents that hold the term and documents that hold both, comes
 near the information of the value itself. Such terms are marked wherever they stand.
 
-Counts cover all documents. Words are counted once per document with a partial sum
-before the shuffle, so frequent words travel as one row per task.
+Counts cover all rows and whole documents, without the values themselves. Words and pairs
+are counted once per row with a partial sum before the shuffle, so frequent words travel as
+one row per task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +30,8 @@ PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 
 #: A term: letters only, in lower case.
 TERM = r"\p{L}{4,}"
-#: Share of a value's information that a term must give; distinct lines it must do so in;
-#: characters of the line on each side that count as beside.
-DISCLOSED, LINES, BESIDE = 0.9, 3, 60
+#: Share of a value's information that a term must give; distinct texts it must do so in.
+DISCLOSED, LINES = 0.9, 3
 
 
 def digits(match: Column) -> Column:
@@ -54,7 +56,7 @@ VALID = {
 
 
 def base_matches(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, near (what stands beside each match), and the valid matches by kind.
+    """doc_id, row_key, the valid matches by kind, their distinct values, and the terms outside them.
 
     ``row_key`` is a hash of the text, so that rows with one doc_id stay apart.
     """
@@ -62,49 +64,57 @@ def base_matches(docs: DataFrame) -> DataFrame:
     rows = rows.withColumns({f"{k}_found": t.found(F.col("text"), p) for k, p in PATTERNS.items()})
     rows = rows.withColumns({f"{k}_at": t.placed(F.col("text"), p, F.col(f"{k}_found")) for k, p in PATTERNS.items()})
     rows = rows.withColumns({k: F.filter(f"{k}_at", VALID[k]) for k in PATTERNS})
-    beside = lambda m: F.struct(
-        F.lower(m["match"]).alias("value"),
-        F.element_at(
-            F.split(F.substring(F.col("text"), F.greatest(m["start"] - BESIDE, F.lit(0)) + 1, F.least(m["start"], F.lit(BESIDE))), "\n"), -1
-        ).alias("left"),
-        F.element_at(F.split(F.substring(F.col("text"), m["end"] + 1, F.lit(BESIDE)), "\n"), 1).alias("right"),
-    )
-    return rows.select(
-        "doc_id", "row_key", *PATTERNS, F.concat(*[F.transform(k, beside) for k in PATTERNS]).alias("near")
-    )
+    rows = rows.withColumn("values", F.array_distinct(F.transform(F.concat(*PATTERNS), lambda m: F.lower(m["match"]))))
+    base = t.in_order(*[t.as_spans(F.col(k), k, i) for i, k in enumerate(PATTERNS)])
+    rows = rows.withColumn("outside", sanitised(F.col("text"), base, lambda s: F.lit(" ")))
+    return rows.select("doc_id", "row_key", *PATTERNS, "values", terms(F.col("outside")).alias("terms"))
 
 
 def terms(text: Column) -> Column:
     return F.array_distinct(t.found(F.lower(text), TERM))
 
 
-def disclosing(docs: DataFrame, matched: DataFrame, disclosed: float = DISCLOSED, lines: int = LINES) -> DataFrame:
+def disclosing(matched: DataFrame, disclosed: float = DISCLOSED, lines: int = LINES) -> DataFrame:
     """term, value, pmi, information: terms whose PMI with a value reaches the share of its information.
 
-    Numbers are of documents. A pair needs ``lines`` distinct surroundings, so that copies
-    of one document prove nothing.
+    All four counts are of rows, whatever their ids; equal texts are met once and weighed
+    by their rows. A pair needs ``lines`` distinct texts, so that copies of one document
+    prove nothing; values in fewer texts are out before any pair is made. With n_value
+    rows, a pair has at most n_value rows, so a term in more than
+    n_value * (n / n_value) ** (1 - disclosed) rows cannot reach the share.
     """
     n = matched.count()
-    beside = matched.select("doc_id", "row_key", F.explode("near").alias("near")).select(
-        "doc_id", "row_key", F.col("near.value").alias("value"), F.concat_ws(" ", "near.left", "near.right").alias("around")
+    bearing = staged(
+        matched.filter(F.size("values") > 0)
+        .groupBy("row_key")
+        .agg(F.count(F.lit(1)).alias("copies"), F.first("values").alias("values"), F.first("terms").alias("terms")),
+        "pii-bearing",
     )
-    paired = beside.withColumn("term", F.explode(terms(F.col("around"))))
+    each = bearing.select("row_key", "copies", F.explode("values").alias("value"))
+    held = staged(
+        each.groupBy("value")
+        .agg(F.sum("copies").alias("n_value"), F.count(F.lit(1)).alias("texts"))
+        .filter((F.col("texts") >= lines) & (F.col("n_value") < n))
+        .select("value", "n_value"),
+        "pii-values",
+    )
+    most = held.agg(F.max(F.col("n_value") * F.pow(F.lit(float(n)) / F.col("n_value"), F.lit(1 - disclosed)))).first()[0]
+    if most is None:
+        return held.select(F.col("value").alias("term"), "value", F.lit(0.0).alias("pmi"), F.lit(0.0).alias("information")).limit(0)
+    wanted = each.join(held, "value").groupBy("row_key").agg(F.collect_list("value").alias("held"))
     both = (
-        paired.groupBy("term", "value")
-        .agg(
-            F.count_distinct("doc_id", "row_key").alias("together"),
-            F.count_distinct("around").alias("around"),
-        )
-        .filter(F.col("around") >= lines)
+        bearing.join(wanted, "row_key")
+        .select("copies", "held", F.explode("terms").alias("term"))
+        .select("copies", "term", F.explode("held").alias("value"))
+        .groupBy("term", "value")
+        .agg(F.sum("copies").alias("together"), F.count(F.lit(1)).alias("texts"))
+        .filter(F.col("texts") >= lines)
     )
-    both = staged(both, "pii-pairs")
-    if both.isEmpty():
-        return both.select("term", "value", F.lit(0.0).alias("pmi"), F.lit(0.0).alias("information")).limit(0)
-    held = beside.groupBy("value").agg(F.count_distinct("doc_id", "row_key").alias("n_value"))
     spread = (
-        docs.select(F.explode(terms(t.whole(F.col("text")))).alias("term"))
+        matched.select(F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_term"))
+        .filter(F.col("n_term").between(lines, int(most) + 1))
     )
     return (
         both.join(spread, "term")
@@ -115,7 +125,7 @@ def disclosing(docs: DataFrame, matched: DataFrame, disclosed: float = DISCLOSED
                 "information": F.log2(F.lit(float(n)) / F.col("n_value")),
             }
         )
-        .filter((F.col("information") > 0) & (F.col("pmi") >= F.col("information") * disclosed))
+        .filter(F.col("pmi") >= F.col("information") * disclosed)
         .select("term", "value", "pmi", "information")
     )
 
@@ -131,7 +141,7 @@ def scan(docs: DataFrame, disclosed: float = DISCLOSED, lines: int = LINES) -> D
     matched = staged(base_matches(docs), "pii-matches")
     base = t.in_order(*[t.as_spans(F.col(k), k, i) for i, k in enumerate(PATTERNS)])
     rows = matched.select("doc_id", "row_key", *[F.size(k).cast("long").alias(k) for k in PATTERNS], base.alias("base"))
-    told = staged(disclosing(docs, matched, disclosed, lines).select("term").distinct(), "pii-terms")
+    told = staged(disclosing(matched, disclosed, lines).select("term").distinct(), "pii-terms")
     if told.isEmpty():
         return rows.drop("row_key").withColumn("spans", F.col("base"))
     texts = docs.select("doc_id", t.whole(F.col("text")).alias("text")).withColumn("row_key", F.xxhash64("text"))
@@ -162,15 +172,18 @@ def scan(docs: DataFrame, disclosed: float = DISCLOSED, lines: int = LINES) -> D
     )
 
 
-def sanitised(text: Column, spans: Column) -> Column:
-    """The text with values replaced by their kind and terms generalised to ``[term]``."""
+def marked(span: Column) -> Column:
+    return F.concat(F.lit("["), span["kind"], F.lit("]"))
+
+
+def sanitised(text: Column, spans: Column, mark: Callable[[Column], Column] = marked) -> Column:
+    """The text with values replaced by their kind and terms generalised to ``[term]``, or by other marks."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        mark = F.concat(F.lit("["), s["kind"], F.lit("]"))
         return F.when(
-            s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, mark).alias("out"))
+            s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, mark(s)).alias("out"))
         ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
 
     return F.when(F.size(spans) == 0, text).otherwise(

@@ -216,6 +216,49 @@ def test_terms_that_disclose(spark):
     assert all("term:7:15" in spans[i] for i in range(6)) and not spans[20]
 
 
+def told_terms(rows):
+    """Plain version for texts whose only values are addresses: counts of rows, whole documents."""
+    address = re.compile(BASE["pii"]["email"][0])
+    kept = [(frozenset(m[0].lower() for m in address.finditer(t)), set(re.findall("[a-z]{4,}", address.sub(" ", t).lower())), t) for _, t in rows]
+    out = set()
+    for v in set().union(*[k[0] for k in kept]):
+        n_value = sum(v in k[0] for k in kept)
+        for x in set().union(*[k[1] for k in kept if v in k[0]]):
+            both = [k[2] for k in kept if v in k[0] and x in k[1]]
+            n_term = sum(x in k[1] for k in kept)
+            pmi, information = np.log2(len(both) * len(kept) / (n_term * n_value)), np.log2(len(kept) / n_value)
+            if len(set(both)) >= 3 and information > 0 and pmi >= 0.9 * information:
+                out.add((x, v))
+    return out
+
+
+def told_by(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {(r.term, r.value) for r in pii.disclosing(pii.base_matches(table)).collect()}
+
+
+def test_terms_of_whole_documents_disclose(spark):
+    """A term lines above its value, or far from it, is seen; letters of the value are no terms."""
+    rows = [(i, f"Name: zanzibar\nday {'abcdefghijkl'[i] * 4}\nMail: quibble@x.example.org") for i in range(6)]
+    rows += [(i, f"orinoco {'abcdefghijkl'[i - 6] * 5} " + "far " * 40 + "other@y.example.org") for i in range(6, 12)]
+    rows += [(i, f"plain text {i} with a day") for i in range(12, 60)]
+    got = told_by(spark, rows)
+    assert got == told_terms(rows)
+    assert {("zanzibar", "quibble@x.example.org"), ("orinoco", "other@y.example.org")} <= got and not any(x == "quibble" for x, _ in got)
+
+
+@pytest.mark.parametrize("share", [0, 3, 1])
+def test_terms_of_null_ids_and_copies_disclose(spark, share):
+    """No, every third or every id is null, and rows repeat: all counts are of the same rows."""
+    rows = [(i, f"note {'abcdefghijkl'[i % 6] * 5} zanzibar writes to zq@x.example.org here") for i in range(18)]
+    rows += [(i, f"copied {i // 30} wordy once@z.example.org") for i in range(18, 30)]
+    rows += [(i, f"note {i} zanzibar nothing to see here") for i in range(30, 31)]
+    rows += [(i, f"note {i} nothing to see here") for i in range(31, 60)]
+    rows = [(None if share and i % share == 0 else i % 50, t) for i, t in rows]
+    got = told_by(spark, rows)
+    assert got == told_terms(rows) and ("zanzibar", "zq@x.example.org") in got
+
+
 def test_quality_model(spark, docs, empty):
     rows = quality.judge(docs).collect()
     same([(r.doc_id,) for r in rows], [(i,) for i, _, _ in texts(docs)])
