@@ -104,17 +104,19 @@ def mix(
     shard_words: int = SHARD,
     group: int = GROUP,
 ) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken, quota: one row per row of ``docs``.
+    """doc_id, text_key, size, source, source_size, target, taken, quota: one row per row of ``docs``.
 
     Needs doc_id, text and source; other columns are not read. Null and empty texts have
-    size 0 and nothing is taken of them; null sources are one source, the last; a null
-    doc_id is ordered like an id of its own; rows that repeat are shared out one by one. An
+    size 0 and nothing is taken of them; null sources are one source, the last; shard and
+    order are drawn from id and text, so rows that share an id, or have none, are spread;
+    rows that repeat are shared out one by one. An
     empty table gives an empty result. ``taken`` counts repeats and is at most ``most``
     sizes; the taken words of a source differ from its target by a block or two.
     """
     sized = staged(
         docs.select(
             F.col("doc_id"),
+            F.xxhash64(whole(F.col("text"))).alias("text_key"),
             source_key(F.col("source")).alias("source"),
             word_count(whole(F.col("text"))).alias("size"),
         ),
@@ -123,7 +125,7 @@ def mix(
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     shards = max(1, -(-total // shard_words))
-    sharded = sized.withColumn("shard", seeded(F.lit("shard"), F.col("doc_id")) % F.lit(shards))
+    sharded = sized.withColumn("shard", seeded(F.lit("shard"), F.col("doc_id"), F.col("text_key")) % F.lit(shards))
 
     by_source = apportion(
         sources.withColumn("votes", F.col("target")), ["source"], [], F.lit(round(total / block)).cast("long")
@@ -144,7 +146,9 @@ def mix(
         "mix-quotas",
     )
 
-    line = Window.partitionBy("source", "shard").orderBy(seeded(F.lit("doc"), F.col("doc_id")), "doc_id", "size")
+    line = Window.partitionBy("source", "shard").orderBy(
+        seeded(F.lit("doc"), F.col("doc_id"), F.col("text_key")), "doc_id", "text_key"
+    )
     wanted = F.least(F.col("quota") * block, F.col("line") * most)
     rounds = F.when(F.col("line") > 0, F.floor(wanted / F.col("line"))).otherwise(0)
     rest = wanted - rounds * F.col("line")
@@ -157,7 +161,7 @@ def mix(
             F.col("rounds") * F.col("size")
             + F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before"))),
         )
-        .select("doc_id", "size", "source", "shard", "source_size", "target", "quota", F.col("taken").cast("long").alias("taken"))
+        .select("doc_id", "text_key", "size", "source", "shard", "source_size", "target", "quota", F.col("taken").cast("long").alias("taken"))
     )
 
 
@@ -170,18 +174,18 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """
     copies = (
         mix(docs, **options)
-        .select("doc_id", F.col("size").alias("_size"), F.col("source").alias("_source"), "taken")
-        .groupBy("doc_id", "_size", "_source")
+        .select("doc_id", F.col("text_key").alias("_key"), F.col("size").alias("_size"), F.col("source").alias("_source"), "taken")
+        .groupBy("doc_id", "_key", "_size", "_source")
         .agg(F.sum("taken").alias("_taken"), F.count(F.lit(1)).alias("_rows"))
         .withColumnsRenamed({"doc_id": "_id"})
     )
-    keyed = docs.withColumns({"_size": word_count(whole(F.col("text"))), "_source": source_key(F.col("source"))})
+    keyed = docs.withColumns({"_key": F.xxhash64(whole(F.col("text"))), "_source": source_key(F.col("source"))})
     same = (
         F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (keyed["_size"] == copies["_size"])
+        & (keyed["_key"] == copies["_key"])
         & (keyed["_source"] == copies["_source"])
     )
-    times = F.floor(F.col("_taken") / (F.col("_rows") * copies["_size"]) + 0.5).cast("int")
+    times = F.floor(F.col("_taken") / (F.col("_rows") * F.col("_size")) + 0.5).cast("int")
     return (
         keyed.join(copies.filter(F.col("_taken") > 0), same)
         .withColumn("_times", times)

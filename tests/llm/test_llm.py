@@ -96,6 +96,18 @@ def test_mixing(docs, empty):
     assert mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixing_spreads_rows_of_null_ids(spark):
+    """Texts of one size without an id: several shards, and the cut takes some of them."""
+    rows = [(None, f"one{i} two three four", "a") for i in range(400)] + [(None, f"many{i} " * 8, "b") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.mix(docs, block=4, shard_words=500).collect()
+    assert all(len({r.shard for r in mix if r["size"] == n}) > 5 for n in (4, 8))
+    assert len({r.taken for r in mix if r["size"] == 8}) > 1
+    copies = Counter(r.text for r in mixing.mixed(docs, block=4, shard_words=500).collect() if r.source == "b")
+    wanted = sum(r.taken for r in mix if r.source == "+b") / 8
+    assert 0 < len(copies) < 400 and abs(sum(copies.values()) - wanted) <= 40
+
+
 def test_apportion_takes_highest_quotients(spark):
     votes = {"a": 53.0, "b": 24.0, "c": 23.0, "d": 0.0}
     parties = spark.createDataFrame(list(votes.items()), "party string, votes double")
