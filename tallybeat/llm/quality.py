@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybeat.llm.text import WORD, whole
+from tallybeat.llm.text import WORD, drawn, whole
 from tallybeat.llm.wordhash import BLANK, MARKS, MIX1, MIX2, buffers, slices, word_hashes, word_ranges
 from tallybeat.sources.tables import staged
 
@@ -155,9 +155,8 @@ def chance(model: tuple[np.ndarray, float], row: np.ndarray, column: np.ndarray,
 
 
 def sampled(texts: DataFrame, rows: int, most: int) -> DataFrame:
-    """About ``most`` of ``rows`` documents by a hash of their id, each text once."""
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(min(1.0, most / max(rows, 1)) * 1_000_000)
-    return texts.filter(draw & F.col("doc_id").isNotNull()).dropDuplicates(["text_key"])
+    """About ``most`` of ``rows`` distinct texts by a hash of the text, each once, whatever their ids."""
+    return texts.filter(drawn(most / max(rows, 1), "text_key")).dropDuplicates(["text_key"])
 
 
 def fitted(sample: DataFrame, targets: list[str]) -> list[tuple[np.ndarray, float] | None]:
@@ -176,13 +175,9 @@ def taught(texts: DataFrame, labels: DataFrame | None) -> list[tuple[np.ndarray,
     gold = labels.filter("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg(
         F.max("quality").alias("quality"), (1 - F.max("toxic")).alias("mild")
     )
-    rows = gold.count()
-    return fitted(sampled(texts, rows, LABEL_DOCS).join(sampled_ids(gold, rows, LABEL_DOCS), "doc_id"), ["quality", "mild"])
-
-
-def sampled_ids(gold: DataFrame, rows: int, most: int) -> DataFrame:
-    share = int(min(1.0, most / max(rows, 1)) * 1_000_000)
-    return gold.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    share = LABEL_DOCS / max(gold.count(), 1)
+    known = texts.filter(drawn(share, "doc_id")).join(gold.filter(drawn(share, "doc_id")), "doc_id")
+    return fitted(sampled(known, known.select("text_key").distinct().count(), LABEL_DOCS), ["quality", "mild"])
 
 
 def judge(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -191,7 +186,7 @@ def judge(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = S
     Needs doc_id and text, and of ``labels`` doc_id, quality and toxic (0 or 1); other
     columns are not read. A document is kept if its quality is at least a half and its
     toxicity, by words and by weak label, below a half. Null and empty texts have no words
-    and are judged by their size; null ids are judged but not sampled; rows that repeat
+    and are judged by their size; null ids are judged and sampled like others; rows that repeat
     get equal scores; without labels the trained labellers do not vote; an empty table
     gives an empty result.
     """
@@ -231,9 +226,11 @@ def judge(docs: DataFrame, labels: DataFrame | None = None, sample_docs: int = S
         "quality-labels",
     )
     by_text = labelled.groupBy("text_key").agg(F.max("good").alias("good"), F.max("mild").alias("mild"))
-    models = spark.sparkContext.broadcast(
-        fitted(sampled(texts, labelled.count(), sample_docs).join(by_text, "text_key"), ["good", "mild"])
-    )
+    distinct = by_text.count()
+    scorers = fitted(sampled(texts, distinct, sample_docs).join(by_text, "text_key"), ["good", "mild"])
+    if distinct and None in scorers:
+        raise RuntimeError("no text was sampled for the scorers")
+    models = spark.sparkContext.broadcast(scorers)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

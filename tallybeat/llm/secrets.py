@@ -9,6 +9,7 @@ model is one literal array in the plan and scoring stays inside the scan.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,14 +105,11 @@ def ratio(token: Column, model: list[float]) -> Column:
 def labelled(docs: DataFrame, matched: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Samples: what the fixed patterns found is random, words of some documents are ordinary.
 
-    Documents are chosen by a hash of their id, about ``sample_docs`` of them; words that
+    Documents are chosen by a hash of id and text, about ``sample_docs`` of them; words that
     hold a digit and a letter both are left to the models.
     """
     rows = matched.count()
-    share = min(1.0, sample_docs / max(rows, 1))
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).filter(
-        F.col("doc_id").isNotNull()
-    )
+    chosen = docs.filter(t.drawn(sample_docs / max(rows, 1), "doc_id", t.whole(F.col("text"))))
     ordinary = chosen.select(F.explode(t.found(t.whole(F.col("text")), IDENTIFIER)).alias("text")).filter(
         ~F.col("text").rlike("[0-9]")
     )
@@ -144,6 +142,8 @@ def scan(
     rows = matched.withColumn("base", base)
     model = train(samples if samples is not None else labelled(docs, matched, sample_docs))
     judged = F.array().cast(t.SPAN)
+    if model is None:
+        warnings.warn("secrets: a label has no samples, so no token is judged", stacklevel=2)
     if model:
         secret = F.filter(
             "tokens",

@@ -20,6 +20,12 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def drawn(share: float, *keys: Column | str) -> Column:
+    """Whether a row is in a sample of about ``share``, by 63 bits of a hash of the keys."""
+    low = F.xxhash64(*keys).bitwiseAND(F.lit(2**63 - 1))
+    return low <= F.lit(min(2**63 - 1, int(share * 2**63)))
+
+
 def words(text: Column) -> Column:
     """The words of a text in order, unchanged."""
     return F.array_remove(F.split(F.translate(text, BLANKS[1:], " " * 5), " "), "")

@@ -278,6 +278,15 @@ def test_quality_model(spark, docs, empty):
     assert quality.judge(empty).count() == 0
 
 
+def test_samples_of_large_tables_and_null_ids(spark, docs):
+    """A sample of 4,000 from 8e9 rows is not empty, and rows without an id are drawn."""
+    many = spark.range(20_000_000).select(F.lit(None).cast("long").alias("doc_id"), F.xxhash64("id").alias("text_key"), F.lit("x").alias("text"))
+    assert 0 < quality.sampled(many, 8_000_000_000, 4_000).count() < 40
+    nobody = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert secrets.labelled(nobody, secrets.base_matches(nobody)).filter("label = 0").count() > 0
+    assert {r.toxic for r in quality.judge(nobody).collect()} != {0.5}
+
+
 def test_label_model_weighs_labellers():
     good = quality.label_model([((1, 1, 1), 70), ((0, 0, 0), 20), ((1, 1, 0), 6), ((0, 0, 1), 4)])
     assert good[(1, 1, 1)] > 0.9 > 0.5 > good[(0, 0, 0)] and good[(1, 1, 0)] > good[(0, 0, 1)]
