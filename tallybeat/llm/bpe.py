@@ -193,12 +193,13 @@ def little_endian(ids: Column, ranks: Ranks) -> Column:
     return joined_bytes(ids, [i.to_bytes(4, "little").hex() for i in range(max(ranks.pieces) + 1)])
 
 
-def round_trip(docs: DataFrame, ranks: Ranks, **options) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+def round_trip(docs: DataFrame, ranks: Ranks, with_ids: bool = False, **options) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, and the ids if asked for."""
     encoded = encode(docs, ranks, **options)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(little_endian(F.col("ids"), ranks), 256).alias("ids_sha256"),
         F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+        *["ids"] * with_ids,
     )

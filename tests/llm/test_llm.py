@@ -440,3 +440,24 @@ def test_pipeline(spark, docs, tmp_path):
     assert len(corpus_pipeline.STAGES) == 5 and rows
     assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
     assert not {4, 5, 6} & {r.doc_id for r in rows}
+
+
+def test_pipeline_stages(spark, docs, tmp_path):
+    """Near duplicates, mixture and token ids hold the rows of a plain version, ids included."""
+    table, stages = docs.select("doc_id", "text", "lang", "source", "n_chars"), dict(corpus_pipeline.STAGES)
+    plain = Counter(i for i, _, _, kept in reference_components(table, 5) if kept)
+    left = stages["near_duplicates"](spark, table, "").filter("doc_id is not null")
+    assert Counter(r.doc_id for r in left.select("doc_id").distinct().collect()) == Counter(plain.keys())
+    taken = Counter()
+    for r in mixing.mix(table).collect():
+        taken[r.doc_id, r["size"]] += r.taken
+    mixed = stages["mixture"](spark, table, "").localCheckpoint()
+    copies = Counter((r.doc_id, len(split(r.text))) for r in mixed.collect())
+    once = [k for k, n in Counter((i, len(split(t))) for i, t, _ in texts(table)).items() if n == 1 and k[1]]
+    assert once and all(copies[k] == int(taken[k] / k[1] + 0.5) for k in once)
+    own = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+        mergeable_ranks={b: r for r, b in bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).pieces.items()},
+    )
+    encoded = stages["token_ids"](spark, table, "")
+    same([(r.doc_id, tuple(r.ids)) for r in encoded.select("doc_id", "ids").collect()], [(i, tuple(own.encode_ordinary(t))) for i, t, _ in texts(table)])
