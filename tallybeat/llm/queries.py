@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.llm import bpe, forest, langid, mixing, neardup, pii, quality, rules, secrets, substrings
+from tallybeat.llm import bpe, forest, langid, merkle, mixing, neardup, pii, quality, rules, secrets, substrings
+from tallybeat.llm import urls, whitening
 from tallybeat.llm.text import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,31 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(documents(spark, folder), ranks)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on its first 16 whitened components, fitted on the distinct grid points."""
+    whitened = whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"), 16)
+    return whitening.by_component(whitened)
+
+
+def op12_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule and the verdict for every page."""
+    judged = urls.judge(spark.read.parquet(f"{folder}/pages.parquet"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the check of a copy with line breaks removed."""
+    return merkle.audit(documents(spark, folder)).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("left"), F.col("right")).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -112,5 +138,8 @@ QUERIES: dict[str, Query] = {
         op8_forest,
         op9_rules,
         op10_bpe,
+        op11_whitening,
+        op12_urls,
+        op13_manifest,
     )
 }
