@@ -335,7 +335,7 @@ def kpi_top_contributors(r: Roles) -> DataFrame:
 
 @query(TOP_CONTRIBUTORS, digits=4)
 def kpi_top_contributors_by_asset(r: Roles) -> DataFrame:
-    return kpis.top_contributors_from_assets(r.unified(), r.shares())
+    return kpis.top_contributors_from_assets(r.unified(), tables.staged(r.shares(), "shares"))
 
 
 @query(

@@ -9,13 +9,29 @@ rules over the given columns, so that conforming has something to do.
 
 from __future__ import annotations
 
-from functools import cache
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybeat.operators.conform import conform
 from tallybeat.plans import facts, silver, synth
+from tallybeat.sources.tables import staged
+
+
+def cache(make: Callable) -> Callable:
+    """Make a frame once per object; it goes with the object."""
+
+    @wraps(make)
+    def kept(self, *args):
+        frames = self.__dict__.setdefault("_frames", {})
+        key = (make.__name__, *args)
+        if key not in frames:
+            frames[key] = make(self, *args)
+        return frames[key]
+
+    return kept
 
 
 class Roles:
@@ -257,7 +273,8 @@ class Roles:
 
     @cache
     def allocation(self) -> DataFrame:
-        return facts.contributor_revenue(facts.asset_revenue(self.unified()), self.shares())
+        assets = staged(facts.asset_revenue(self.unified()), "asset_revenue")
+        return facts.contributor_revenue(assets, staged(self.shares(), "shares"))
 
     # generated masters -------------------------------------------------------------------
 

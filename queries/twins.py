@@ -121,26 +121,27 @@ ASSET_REVENUE = (
   FROM unified GROUP BY ALL)"""
 )
 
-_MEMBER = "42.mapping.member"
+#: Number i of a team of n people: any of the first n - team + i.
+_PICK = """(('0x' || substr(md5('42.mapping.member|' || asset_id || '|' || i[1]), 1, 15))::bigint % (n - team + i[1]) + 1)"""
 
 
 def shares(assets: str, total: str) -> str:
     """Contributor mapping of ``assets(asset_id, fewest, most)``; contributors 1..total."""
     return f"""sized AS (
-  SELECT asset_id, most, {total} AS n,
+  SELECT asset_id, {total} AS n,
          least(fewest + {draw("42.mapping.size", "asset_id")} % (most - fewest + 1), {total}) AS team
   FROM {assets}),
 members AS (
-  SELECT asset_id, team, n,
-         {draw(_MEMBER + ".start", "asset_id")} % n AS start,
-         1 + {draw(_MEMBER + ".stride", "asset_id")} % greatest((n - 1) // most, 1) AS stride,
-         unnest(range(0, team)) AS i
+  SELECT asset_id, team, unnest(list_reduce(
+    list_prepend(cast([] AS bigint[]), list_transform(range(1, team + 1), lambda i: [i])),
+    lambda chosen, i: list_append(chosen, CASE WHEN list_contains(chosen, {_PICK}) THEN n - team + i[1] ELSE {_PICK} END)
+  )) AS rank
   FROM sized),
 shares AS (
   SELECT asset_id, printf('CTB%03d', rank) AS contributor_id,
          {choice("42.contributor.role", k.ROLES, "rank")} AS role_in_asset, 'EQUAL' AS allocation_method,
          cast(round(1.0 / team, 4) AS decimal(6,4)) AS allocation_percent
-  FROM (SELECT asset_id, team, (start + i * stride) % n + 1 AS rank FROM members))"""
+  FROM members)"""
 
 
 ROLE_SHARES = shares(

@@ -23,6 +23,11 @@ def draw(seed: str, *parts: Column) -> Column:
     return F.conv(F.substring(digest(seed, *parts), 1, 8), 16, 10).cast("bigint")
 
 
+def long_draw(seed: str, *parts: Column) -> Column:
+    """Whole number in [0, 2**60), for ranges that 32 bits do not cover."""
+    return F.conv(F.substring(digest(seed, *parts), 1, 15), 16, 10).cast("bigint")
+
+
 def whole(seed: str, low: int, high: int, *parts: Column) -> Column:
     """Whole number in [low, high]."""
     return F.lit(low) + F.pmod(draw(seed, *parts), F.lit(high - low + 1))
@@ -53,19 +58,23 @@ def distinct_choices(seed: str, values: list[str], size: Column, *parts: Column)
     return F.transform(F.slice(F.array_sort(keyed), F.lit(1), size.cast("int")), lambda x: x["v"])
 
 
-def distinct_numbers(seed: str, size: Column, total: Column, *parts: Column, most: int) -> Column:
-    """Array of up to ``size`` (at most ``most``) different numbers in [1, total].
+def distinct_numbers(seed: str, size: Column, total: Column, *parts: Column) -> Column:
+    """Array of ``size`` different numbers in [1, total], every such set equally likely; all if fewer.
 
-    Numbers lie on a stride that cannot wrap onto its own start, so no other candidate is
-    ever generated: the cost per row is ``size``, however large ``total`` is.
+    Floyd's sampling: number i of the draw lies in [1, total - size + i]; if it was drawn before, the
+    upper bound, which cannot have been, takes its place. No other candidate is made, so the
+    cost per row is that of the set, however large ``total`` is.
     """
-    start = F.pmod(draw(seed + ".start", *parts), total)
-    span = F.greatest(F.floor((total - 1) / F.lit(most)), F.lit(1))
-    stride = F.lit(1) + F.pmod(draw(seed + ".stride", *parts), span)
-    return F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.least(size, total).cast("bigint") - 1),
-        lambda i: F.pmod(start + i * stride, total) + 1,
-    )
+    wanted = F.least(size, total).cast("bigint")
+
+    def step(chosen: Column, i: Column) -> Column:
+        high = total - wanted + i
+        drawn = F.pmod(long_draw(seed, *parts, i), high) + 1
+        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, drawn), high).otherwise(drawn)))
+
+    none = F.array().cast("array<bigint>")
+    places = F.sequence(F.lit(1).cast("bigint"), wanted)
+    return F.when(wanted > 0, F.aggregate(places, none, step)).otherwise(none)
 
 
 def day_between(seed: str, first: str, last: str, *parts: Column) -> Column:

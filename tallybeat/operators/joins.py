@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybeat.sources.tables import staged
+
 
 def keep_members(rows: DataFrame, members: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in ``members``; the set stays distributed."""
@@ -29,17 +31,66 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, values: Sequence[str]) -
     return rows.join(table.select(key, *values), key, "inner")
 
 
+#: Rows that one task may make of one key.
+TILE = 1 << 22
+
+
+def fan_out_grid(rows: DataFrame, details: DataFrame, on: str, tile: int = TILE) -> DataFrame:
+    """Keys whose output is longer than a tile, with the parts to cut their rows and details into.
+
+    The output of a key with n rows and m details is a rectangle of n x m. It is cut into tiles: the
+    longer side into as many parts as the output has tiles, the shorter one only where it is longer
+    than the side of a square tile by itself. A side is repeated once per part of the other, so the
+    longer side stays as it is unless both are long. There are at most as many such keys as the
+    output has tiles.
+    """
+    sizes = rows.groupBy(on).agg(F.count("*").alias("_n")).join(
+        details.groupBy(on).agg(F.count("*").alias("_m")), on
+    )
+    output = F.col("_n").cast("double") * F.col("_m")
+    short = F.ceil(F.least("_n", "_m") / F.lit(float(tile) ** 0.5))
+    long = F.ceil(output / tile / short)
+    by_rows = F.col("_n") >= F.col("_m")
+    return sizes.filter(output > tile).select(
+        on,
+        F.when(by_rows, long).otherwise(short).cast("int").alias("_row_parts"),
+        F.when(by_rows, short).otherwise(long).cast("int").alias("_detail_parts"),
+    )
+
+
 def fan_out_join(
-    rows: DataFrame, details: DataFrame, on: str, spread_by: Sequence[str], parts: int = 8
+    rows: DataFrame,
+    details: DataFrame,
+    on: str,
+    rows_by: Sequence[str],
+    details_by: Sequence[str],
+    tile: int = TILE,
 ) -> DataFrame:
-    """Inner 1:N join in which no single task has to expand a very long key.
+    """Inner n:m join in which no task expands more than a tile of one key.
 
-    The cost of a fan-out is its output: a key with few rows on the left and millions of
-    details looks small to size-based skew handling. So the details of every key lie in
-    ``parts`` parts by a hash of ``spread_by``, each joined by itself, and the rows, which
-    should be the shorter side, are repeated once per part. All keys are treated alike and
-    the details are read once; raise ``parts`` for longer keys.
+    The cost of a fan-out is its output: a key with few rows on one side and millions on the
+    other looks small to size-based skew handling. So keys are counted on both sides first, and
+    those with a long output are cut by ``fan_out_grid``; parts are drawn by a hash of ``rows_by`` and
+    ``details_by``. Where no key is long, which the counts tell, it is a plain join; and a
+    side that no part of the other asks to repeat is not expanded before its shuffle. Both sides are
+    read for the counts and for the join: hand over tables or staged results.
     """
-    cut = details.withColumn("_part", F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int"))
-    repeated = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return repeated.join(cut, [on, "_part"], "inner").drop("_part")
+    grid = staged(fan_out_grid(rows, details, on, tile), "fan-out-grid")
+    most = grid.agg(F.max("_row_parts").alias("rows"), F.max("_detail_parts").alias("details")).first()
+    if most.rows is None:
+        return rows.join(details, on, "inner")
+
+    def dealt(side: DataFrame, by: Sequence[str], own: str, other: str, copies: int) -> DataFrame:
+        parts = side.join(grid, on, "left")
+        one = F.lit(1)
+        place = F.pmod(F.xxhash64(*by), F.coalesce(f"_{own}_parts", one)).cast("int")
+        others = F.sequence(F.lit(0), F.coalesce(f"_{other}_parts", one) - 1)
+        return parts.select(
+            *side.columns,
+            place.alias(f"_{own}"),
+            (F.explode(others) if copies > 1 else F.lit(0)).alias(f"_{other}"),
+        )
+
+    left = dealt(rows, rows_by, "row", "detail", most.details)
+    right = dealt(details, details_by, "detail", "row", most.rows)
+    return left.join(right, [on, "_row", "_detail"], "inner").drop("_row", "_detail")

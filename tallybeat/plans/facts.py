@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallybeat import constants as k
 from tallybeat.functions.columns import date_key, typed_null
-from tallybeat.operators.joins import fan_out_join, lookup
+from tallybeat.operators.joins import TILE, fan_out_join, lookup
 
 PERIOD = ["revenue_period", "period_type", "source_type", "asset_id"]
 
@@ -86,17 +86,16 @@ def asset_revenue(unified: DataFrame) -> DataFrame:
     return unified.groupBy(*PERIOD).agg(F.sum("revenue_usd").alias("revenue_usd"))
 
 
-def contributor_revenue(
-    assets: DataFrame, mapping: DataFrame, parts: int = 8
-) -> DataFrame:
+def contributor_revenue(assets: DataFrame, mapping: DataFrame, tile: int = TILE) -> DataFrame:
     """Each contributor's part of the revenue of the assets they worked on.
 
     Parts follow the stored percentages as they are, also where these do not add up to 1.
-    ``assets`` is the result of ``asset_revenue``: one row per asset and period, however
-    many sales went into it, so only the mapping can be long for an asset.
+    ``assets`` is the result of ``asset_revenue``, one row per asset and period however many sales
+    went into it; it and the mapping are read twice, so both should be tables or staged.
     """
     shares = mapping.select("asset_id", "contributor_id", "role_in_asset", "allocation_percent")
-    joined = fan_out_join(assets, shares, "asset_id", ["contributor_id"], parts)
+    periods = [c for c in PERIOD if c != "asset_id"]
+    joined = fan_out_join(assets, shares, "asset_id", periods, ["contributor_id"], tile)
     return joined.select(
         *PERIOD,
         "contributor_id",

@@ -288,7 +288,7 @@ def contributor_mapping(
     """``fewest`` to ``most`` different contributors per asset, with equal rounded shares."""
     asset = F.col("asset_id")
     wanted = whole(f"{seed}.mapping.size", fewest, most, asset)
-    team = distinct_numbers(f"{seed}.mapping.member", wanted, F.col("_total"), asset, most=most)
+    team = distinct_numbers(f"{seed}.mapping.member", wanted, F.col("_total"), asset)
     counted = assets.select("asset_id", _size(contributors).alias("_total"))
     chosen = counted.select("asset_id", team.alias("_team")).select(
         "asset_id", F.size("_team").alias("_size"), F.explode("_team").alias("rank")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallybeat.operators import quality
 from tallybeat.operators.dedupe import first_seen, flatten_lists, keep_first, one_per_minute
-from tallybeat.operators.joins import fan_out_join, keep_members, keep_strangers
+from tallybeat.operators.joins import fan_out_grid, fan_out_join, keep_members, keep_strangers
 from tallybeat.operators.ranking import hash_rank, seeded_sample, top
 
 
@@ -58,28 +58,41 @@ def test_first_seen_and_flatten(spark):
     assert rows_of(first_seen(flat, "id", ["row_no"], ["name"])) == [("a", "n0"), ("b", "n1")]
 
 
-@pytest.mark.parametrize("parts", [1, 7, 100])
-def test_fan_out_join_against_brute_force(spark, parts):
+@pytest.mark.parametrize("tile", [1, 7, 100, 2000, 1 << 22])
+def test_fan_out_join_against_brute_force(spark, tile):
+    """Keys long on the left, on the right, on both sides, on one only; null keys; repeated rows."""
     pick = random.Random(3)
-    left = [(f"a{i % 20}" if i % 3 else "hot", i) for i in range(120)]
+    left = [(f"a{i % 20}" if i % 3 else "hot", i) for i in range(120)] + [("wide", 1), ("wide", 1), (None, 5)]
+    left += [("tall", i) for i in range(150)] + [("alone", i) for i in range(50)]
     right = [("hot" if pick.random() < 0.4 else f"a{pick.randrange(25)}", f"c{i}") for i in range(400)]
-    right += [(None, "none")]
+    right += [(None, "none"), ("tall", "x"), ("tall", "x"), ("tall", "y")] + [("wide", f"w{i}") for i in range(300)]
     by_key = defaultdict(list)
     for key, c in right:
         by_key[key].append(c)
-    expected = sorted(((k, v, c) for k, v in left for c in by_key[k]), key=repr)
+    expected = sorted(((k, v, c) for k, v in left if k for c in by_key[k]), key=repr)
     a = spark.createDataFrame(left, "asset string, v int")
     b = spark.createDataFrame(right, "asset string, c string")
-    assert rows_of(fan_out_join(a, b, "asset", ["c"], parts=parts)) == expected
+    assert rows_of(fan_out_join(a, b, "asset", ["v"], ["c"], tile)) == expected
 
 
-def test_fan_out_join_spreads_a_hot_key(spark):
-    a = spark.createDataFrame([("hot", i) for i in range(10)], "asset string, v int")
-    b = spark.range(4000).select(F.lit("hot").alias("asset"), F.col("id").alias("c"))
+def test_fan_out_grid_cuts_the_longer_side(spark):
+    a = spark.createDataFrame([("tall", i) for i in range(1000)] + [("wide", 1)] + [("big", i) for i in range(400)], "k string, v int")
+    b = spark.createDataFrame([("tall", 1)] * 3 + [("wide", i) for i in range(900)] + [("big", i) for i in range(300)], "k string, c int")
+    grid = {r.k: (r._row_parts, r._detail_parts) for r in fan_out_grid(a, b, "k", 100).collect()}
+    assert grid == {"tall": (30, 1), "wide": (1, 9), "big": (40, 30)}
+    assert fan_out_grid(a, b, "k", 10**6).isEmpty()
+
+
+@pytest.mark.parametrize("long", ["rows", "details"])
+def test_fan_out_join_spreads_a_hot_key(spark, long):
+    """The output of one key comes from many tasks, whichever side is long."""
+    few = spark.createDataFrame([("hot", i) for i in range(10)], "asset string, v int")
+    many = spark.range(4000).select(F.lit("hot").alias("asset"), F.col("id").alias("c"))
+    sides = (many, few, "asset", ["c"], ["v"]) if long == "rows" else (few, many, "asset", ["v"], ["c"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = fan_out_join(a, b, "asset", ["c"], parts=40)
+        joined = fan_out_join(*sides, tile=1000)
         per_task = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -87,6 +100,17 @@ def test_fan_out_join_spreads_a_hot_key(spark):
     assert sum(per_task) == 40_000 and len(per_task) == 4 and max(per_task) < 20_000
 
 
+def test_fan_out_join_repeats_the_shorter_side_only(spark):
+    """Plans: nothing is expanded without a long key; with one, the longer side is not."""
+    rows = spark.range(2000).select(F.lit("hot").alias("asset"), F.col("id").alias("v"))
+    few = spark.createDataFrame([("hot", i) for i in range(10)], "asset string, c int")
+    assert "Generate" not in plan_of(fan_out_join(rows, few, "asset", ["v"], ["c"]))
+    plan = plan_of(fan_out_join(rows, few, "asset", ["v"], ["c"], tile=1000))
+    assert plan.count("Generate explode") == 1 or plan.count(") Generate") == 1
+    generate = plan[plan.rindex(") Generate") :].split("Arguments:")[1].split("\n")[0]
+    assert "_row_parts" in generate and "_detail_parts" not in generate
+
+
 def test_semi_and_anti(spark):
     a = spark.createDataFrame([("x",), ("y",), (None,)], "k string")
     b = spark.createDataFrame([("x",), ("x",)], "k string")

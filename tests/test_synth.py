@@ -1,4 +1,4 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 from decimal import Decimal
 
 import pytest
@@ -6,6 +6,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tallybeat import constants as k
+from tallybeat.functions.seeded import distinct_numbers
 from tallybeat.plans import synth
 
 
@@ -109,3 +110,17 @@ def test_pools(spark):
     assert rows_of(recordings, "recording_mbid", "recording_name") == [("r1", "early")]
     assert rows_of(artists) == [("a1", "y"), ("a2", "y")]
     assert rows_of(synth.pool_sizes(recordings, artists)) == [("artists", 2), ("recordings", 1)]
+
+
+def test_distinct_numbers_reach_every_set(spark):
+    """All sets of 2 of 5 about equally often, distant pairs of many, all numbers where fewer are there."""
+    ids = spark.range(4000)
+    team = distinct_numbers("t", F.lit(2), F.lit(5), F.col("id"))
+    sets = Counter(tuple(sorted(r[0])) for r in ids.select(team).collect())
+    assert len(sets) == 10 and all(len(set(s)) == 2 and min(s) >= 1 and max(s) <= 5 for s in sets)
+    assert all(300 < n < 500 for n in sets.values())
+    far = distinct_numbers("t", F.lit(3), F.lit(10**12), F.col("id"))
+    gaps = [max(r[0]) - min(r[0]) for r in ids.select(far).collect()]
+    assert max(gaps) > 0.9e12 and min(gaps) < 0.2e12
+    few = ids.limit(3).select(*[distinct_numbers("t", F.lit(4), F.lit(n), F.col("id")) for n in (0, 1, 3)])
+    assert all(r[0] == [] and r[1] == [1] and sorted(r[2]) == [1, 2, 3] for r in few.collect())
