@@ -273,8 +273,7 @@ class Roles:
 
     @cache
     def allocation(self) -> DataFrame:
-        assets = staged(facts.asset_revenue(self.unified()), "asset_revenue")
-        return facts.contributor_revenue(assets, staged(self.shares(), "shares"))
+        return facts.contributor_revenue(facts.asset_revenue(self.unified()), staged(self.shares(), "shares"))
 
     # generated masters -------------------------------------------------------------------
 

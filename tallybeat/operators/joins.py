@@ -35,18 +35,22 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, values: Sequence[str]) -
 TILE = 1 << 22
 
 
-def fan_out_grid(rows: DataFrame, details: DataFrame, on: str, tile: int = TILE) -> DataFrame:
+def fan_out_grid(
+    rows: DataFrame, details: DataFrame, on: str, tile: int = TILE, most_rows: int | None = None
+) -> DataFrame:
     """Keys whose output is longer than a tile, with the parts to cut their rows and details into.
 
     The output of a key with n rows and m details is a rectangle of n x m. It is cut into tiles: the
     longer side into as many parts as the output has tiles, the shorter one only where it is longer
     than the side of a square tile by itself. A side is repeated once per part of the other, so the
     longer side stays as it is unless both are long. There are at most as many such keys as the
-    output has tiles.
+    output has tiles. With ``most_rows``, a bound on n known beforehand, rows are not counted.
     """
-    sizes = rows.groupBy(on).agg(F.count("*").alias("_n")).join(
-        details.groupBy(on).agg(F.count("*").alias("_m")), on
-    )
+    sizes = details.groupBy(on).agg(F.count("*").alias("_m"))
+    if most_rows is None:
+        sizes = sizes.join(rows.groupBy(on).agg(F.count("*").alias("_n")), on)
+    else:
+        sizes = sizes.withColumn("_n", F.lit(most_rows).cast("bigint"))
     output = F.col("_n").cast("double") * F.col("_m")
     short = F.ceil(F.least("_n", "_m") / F.lit(float(tile) ** 0.5))
     long = F.ceil(output / tile / short)
@@ -65,6 +69,7 @@ def fan_out_join(
     rows_by: Sequence[str],
     details_by: Sequence[str],
     tile: int = TILE,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """Inner n:m join in which no task expands more than a tile of one key.
 
@@ -72,10 +77,11 @@ def fan_out_join(
     other looks small to size-based skew handling. So keys are counted on both sides first, and
     those with a long output are cut by ``fan_out_grid``; parts are drawn by a hash of ``rows_by`` and
     ``details_by``. Where no key is long, which the counts tell, it is a plain join; and a
-    side that no part of the other asks to repeat is not expanded before its shuffle. Both sides are
-    read for the counts and for the join: hand over tables or staged results.
+    side that no part of the other asks to repeat is not expanded before its shuffle. What is
+    counted is read twice: hand over tables or staged results, or ``most_rows`` if the rows per key
+    have a known bound.
     """
-    grid = staged(fan_out_grid(rows, details, on, tile), "fan-out-grid")
+    grid = staged(fan_out_grid(rows, details, on, tile, most_rows), "fan-out-grid")
     most = grid.agg(F.max("_row_parts").alias("rows"), F.max("_detail_parts").alias("details")).first()
     if most.rows is None:
         return rows.join(details, on, "inner")

@@ -14,6 +14,8 @@ from tallybeat import constants as k
 from tallybeat.functions.columns import date_key, typed_null
 from tallybeat.operators.joins import TILE, fan_out_join, lookup
 
+#: An asset has a row per day or month: more than the days of a century it cannot have.
+PERIODS_PER_ASSET = 36_525
 PERIOD = ["revenue_period", "period_type", "source_type", "asset_id"]
 
 
@@ -91,11 +93,11 @@ def contributor_revenue(assets: DataFrame, mapping: DataFrame, tile: int = TILE)
 
     Parts follow the stored percentages as they are, also where these do not add up to 1.
     ``assets`` is the result of ``asset_revenue``, one row per asset and period however many sales
-    went into it; it and the mapping are read twice, so both should be tables or staged.
+    went into it, so its rows per asset have a bound and only the mapping is counted.
     """
     shares = mapping.select("asset_id", "contributor_id", "role_in_asset", "allocation_percent")
     periods = [c for c in PERIOD if c != "asset_id"]
-    joined = fan_out_join(assets, shares, "asset_id", periods, ["contributor_id"], tile)
+    joined = fan_out_join(assets, shares, "asset_id", periods, ["contributor_id"], tile, PERIODS_PER_ASSET)
     return joined.select(
         *PERIOD,
         "contributor_id",

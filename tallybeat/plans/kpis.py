@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tallybeat import constants as k
 from tallybeat.operators.joins import fan_out_join
 from tallybeat.operators.ranking import top
-from tallybeat.sources.tables import staged
 
 
 def total_revenue(unified: DataFrame) -> DataFrame:
@@ -47,9 +46,9 @@ def top_contributors_from_assets(unified: DataFrame, mapping: DataFrame, n: int
     A contributor's share of an asset is the same in every period, so revenue is summed
     per asset before it is split: the fan-out then runs over assets, not asset periods.
     """
-    per_asset = staged(unified.groupBy("asset_id").agg(F.sum("revenue_usd").alias("revenue_usd")), "per_asset")
+    per_asset = unified.groupBy("asset_id").agg(F.sum("revenue_usd").alias("revenue_usd"))
     shares = mapping.select("asset_id", "contributor_id", "allocation_percent")
-    parts = fan_out_join(per_asset, shares, "asset_id", ["revenue_usd"], ["contributor_id"]).select(
+    parts = fan_out_join(per_asset, shares, "asset_id", ["revenue_usd"], ["contributor_id"], most_rows=1).select(
         "contributor_id",
         (F.col("revenue_usd").cast(k.USD) * F.col("allocation_percent")).alias("allocated_revenue_usd"),
     )

@@ -289,9 +289,10 @@ def contributor_mapping(
     asset = F.col("asset_id")
     wanted = whole(f"{seed}.mapping.size", fewest, most, asset)
     team = distinct_numbers(f"{seed}.mapping.member", wanted, F.col("_total"), asset)
-    counted = assets.select("asset_id", _size(contributors).alias("_total"))
+    counted = _spread(assets.select("asset_id"), "asset_id").select("asset_id", _size(contributors).alias("_total"))
+    # An outer explode infers no filter on the team, which would draw it a second time.
     chosen = counted.select("asset_id", team.alias("_team")).select(
-        "asset_id", F.size("_team").alias("_size"), F.explode("_team").alias("rank")
+        "asset_id", F.size("_team").alias("_size"), F.explode_outer("_team").alias("rank")
     )
     people = contributors.select(
         "rank", "contributor_id", F.col("default_role").alias("role_in_asset")

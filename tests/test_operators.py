@@ -81,6 +81,10 @@ def test_fan_out_grid_cuts_the_longer_side(spark):
     grid = {r.k: (r._row_parts, r._detail_parts) for r in fan_out_grid(a, b, "k", 100).collect()}
     assert grid == {"tall": (30, 1), "wide": (1, 9), "big": (40, 30)}
     assert fan_out_grid(a, b, "k", 10**6).isEmpty()
+    bounded = {r.k: (r._row_parts, r._detail_parts) for r in fan_out_grid(a, b, "k", 100, most_rows=5).collect()}
+    assert bounded == {"wide": (1, 45), "big": (1, 15)}
+    joined = fan_out_join(a, b, "k", ["v"], ["c"], 100, most_rows=1000)
+    assert joined.count() == 3000 + 900 + 120_000
 
 
 @pytest.mark.parametrize("long", ["rows", "details"])
