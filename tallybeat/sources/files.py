@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from tallybeat.functions.columns import leading_number, to_instant
+from tallybeat.sources import records
 
 LISTENS = (
     "listened_at timestamp, created timestamp, user_id bigint, recording_msid string, "
@@ -29,16 +30,18 @@ def read_csv(
     """CSV with a header, every column as text unless a schema says otherwise.
 
     Columns go by the header, and each further file's header must agree with it. ``free_text``
-    allows line breaks inside quotes, at the price of one task per file; tables of ids and
-    numbers do without and split.
+    allows line breaks inside quotes. It costs a scan that looks for them: without any, files are
+    split as usual; with some, records are put together by many tasks per file
+    (``records``). Only files that do not quote as RFC 4180 says are read in one task each.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", free_text)
-    )
-    return (reader.schema(schema) if schema else reader).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    typed = reader.schema(schema) if schema else reader
+    if not free_text or not records.breaks_inside_quotes(spark, path):
+        return typed.csv(path)
+    whole_files = typed.option("multiLine", True).csv(path)
+    names = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+    found = records.parsed(spark, path, whole_files, names, {"escape": '"', "multiLine": "true"})
+    return whole_files if found is None else found
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
