@@ -19,7 +19,7 @@ from tallybeat.operators.joins import lookup
 from tallybeat.operators.ranking import seeded_sample
 from tallybeat.plans import dims, facts, ingest, kpis, silver, streams, synth
 from tallybeat.session import run_dir
-from tallybeat.sources import files, tables
+from tallybeat.sources import files, landings, tables
 from tallybeat.streaming import ingest as stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -500,9 +500,9 @@ def synth_revenue_by_country(r: Roles) -> DataFrame:
 DELIVERED = 8
 
 
-def deliver(r: Roles) -> str:
+def deliver(r: Roles, path: str | None = None) -> str:
     """Events as a folder of numbered Parquet files."""
-    path = run_dir(r.spark, "delivery")
+    path = path or run_dir(r.spark, "delivery")
     place = (F.col("event_id") % DELIVERED).cast("int")
     r.table("events").repartitionById(DELIVERED, place).write.parquet(path)
     return path
@@ -526,7 +526,7 @@ def rows_per_file(r: Roles) -> DataFrame:
 WHERE (SELECT count(*) FROM events) > 0 AND (SELECT count(*) FROM orders) > 0""")
 def bronze_inventory(r: Roles) -> DataFrame:
     target = run_dir(r.spark, "bronze")
-    ingest.ingest(r.spark, deliver(r), f"{target}/listens", "2024-02-01")
+    deliver(r, f"{target}/listens")
     files.write_csv(r.table("orders").repartition(4), f"{target}/orders")
     usage = quality.prefix_usage(files.list_files(r.spark, target))
     return usage.select("prefix", "files", (F.col("bytes") > 0).alias("has_bytes"))
@@ -569,25 +569,29 @@ def ingest_manifest(r: Roles) -> DataFrame:
     return entries.select("ingested_date", "file_no", has_bytes, "landed_rows", "status")
 
 
-@query("""SELECT 'OK' AS status, count(DISTINCT event_id % 8) AS files, count(*) AS landed_rows FROM events
-UNION ALL SELECT 'MISSING', 1, 0 UNION ALL SELECT 'EXTRA', 1, 0""")
+@query("""SELECT CASE WHEN event_id % 8 = 3 THEN 'DIFFERENT' ELSE 'OK' END AS status,
+  count(DISTINCT event_id % 8) AS files, count(*) AS expected_rows, count(*) AS found_rows FROM events GROUP BY ALL
+UNION ALL SELECT 'MISSING', 1, 7, 0 UNION ALL SELECT 'EXTRA', 1, 0, 5""")
 def reconcile_ingest(r: Roles) -> DataFrame:
-    """Source against what lies in the target, with a file too many and one that never landed."""
+    """Source against target by content: a file changed in one value since, one too many, one that never landed."""
     source, target, date = deliver(r), run_dir(r.spark, "bronze"), "2024-02-01"
-    schema = r.table("events").schema
+    events = r.table("events")
+    schema = events.schema
     ingest.ingest(r.spark, source, target, date)
-    nothing = r.table("events").limit(0)
-    nothing.write.mode("append").parquet(source)
-    nothing.write.parquet(f"{target}/ingested_date={date}/source_file=stray.parquet")
-    status = quality.reconcile(
-        files.list_files(r.spark, source, "*.parquet"), files.list_files(r.spark, target, "*.parquet"), "file_name"
-    )
-    landed = files.read_listens(r.spark, target, date, schema.add("source_file", "string"))
-    counts = landed.groupBy(F.col("source_file").alias("file_name")).agg(F.count("*").alias("row_count"))
-    return (
-        tables.staged(status, "reconciled").join(counts, "file_name", "left")
-        .groupBy("status")
-        .agg(F.count("*").alias("files"), F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("landed_rows"))
+    landed = files.read_listens(r.spark, target, date, T.StructType([*schema, *landings.ORIGIN]))
+    file_no = files.leading_number(F.col("source_file"))
+    # Planted: of the file that holds the third eighth, one row's value is another now.
+    last = landed.filter(file_no == 3).agg(F.max("event_id")).first()[0]
+    changed = landed.withColumn("value", F.when(F.col("event_id") == last, F.col("value") + 1).otherwise(F.col("value")))
+    stray = events.limit(5).select("*", F.lit("stray.parquet").alias("source_file"), F.lit(0).cast("bigint").alias("source_row"))
+    found = changed.drop("ingested_date").unionByName(stray)
+    given = r.spark.read.schema(schema).parquet(source).select("*", F.col("_metadata.file_name").alias("source_file"))
+    late = events.limit(7).withColumn("source_file", F.lit("late.parquet"))
+    status = quality.reconcile_content(given.unionByName(late), found, "source_file", schema.names)
+    return status.groupBy("status").agg(
+        F.count("*").alias("files"),
+        F.sum("expected_rows").alias("expected_rows"),
+        F.sum("found_rows").alias("found_rows"),
     )
 
 

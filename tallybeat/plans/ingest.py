@@ -1,41 +1,42 @@
 """Incremental landing of Parquet files, file by file and safe to repeat.
 
-Rows land under ``ingested_date=.../source_file=...`` by jobs that read strictly: a job either
-lands all rows of its files or none, so no file is ever there in part. What was tried is
-recorded under ``_manifest`` of the target, after its rows have landed. A run takes the files
-that the record does not call LOADED or EMPTY: new ones, those that could not be read, and
-those that a run that died had not recorded yet, whose folders are written anew.
+Rows land in passes of many files, by jobs that read strictly: a job either lands all rows of its
+files or none, so no file is ever there in part. A pass is published by its entries in the record
+(``sources.landings``), after its rows have landed. A run takes the files that the record does
+not call LOADED or EMPTY: new ones, those that could not be read, and those that a run that died
+had not recorded yet; what that run left behind is not read. One run at a time may land
+files of a date.
 """
 
 from __future__ import annotations
 
+import uuid
+from itertools import batched
+
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallybeat.operators.joins import keep_strangers
 from tallybeat.sources.files import list_files, parquet_schema
-from tallybeat.sources.tables import staged
+from tallybeat.sources.landings import entries, pass_folder, path_exists
 
 PATTERN = "*.parquet"
-ENTRY = (
-    "ingested_date string, file_no bigint, file_name string, bytes bigint, landed_rows bigint, status string"
-)
 #: How Spark names a file that it cannot read.
 UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
 
 
 def require_path(spark: SparkSession, path: str) -> None:
     """Fail early, and clearly, when an input location is not there."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
 
 
 def new_files(spark: SparkSession, source: str, target: str, ingested_date: str) -> DataFrame:
     """Source files that are not recorded as landed for the date; nothing is opened."""
-    finished = manifest(spark, target, ingested_date).filter(F.col("status") != "FAILED")
+    finished = entries(spark, target, ingested_date).filter(F.col("status") != "FAILED")
     return keep_strangers(list_files(spark, source, PATTERN), finished, "file_name")
 
 
@@ -54,45 +55,29 @@ def ingest(
     """
     require_path(spark, source)
     schema = schema or parquet_schema(spark, source)
-    place = F.struct(F.coalesce("file_no", F.lit(-1)).alias("no"), "file_name")
     fresh = new_files(spark, source, target, ingested_date)
-    numbered = fresh.withColumn("at", place).select("path", "at", "file_no", "file_name", "length")
-    waiting = staged(numbered.repartitionByRange("at").sortWithinPartitions("at"), "waiting")
-    done = None
-    while True:
-        rest = waiting
-        if done is not None:
-            # Files of the listing are sorted, so this skips those that hold earlier names only.
-            last = F.struct(F.lit(done.no).cast("bigint").alias("no"), F.lit(done.file_name).alias("file_name"))
-            rest = waiting.filter((F.col("at.no") >= done.no) & (F.col("at") > last))
-        batch = rest.orderBy("at").limit(files_per_pass).collect()  # names only, bounded
-        if not batch:
-            break
-        broken = set(_land(spark, [row.path for row in batch], target, ingested_date, schema))
-        _record(spark, [row for row in batch if row.path in broken], None, target, ingested_date)
-        whole = [row for row in batch if row.path not in broken]
-        if whole:
+    numbered = fresh.select("path", "file_no", "file_name", "length").orderBy(
+        F.coalesce("file_no", F.lit(-1)), "file_name"
+    )
+    # Sorted once; the driver holds one part of the listing at a time.
+    for batch in batched(numbered.toLocalIterator(), files_per_pass):
+        landed, broken = _land(spark, [row.path for row in batch], target, ingested_date, schema)
+        _record(spark, [row for row in batch if row.path in broken], None, None, target, ingested_date)
+        for name, paths in landed.items():
+            own = set(paths)
             counts = (
-                spark.read.schema(schema)
-                .parquet(*[row.path for row in whole])
-                .groupBy(F.col("_metadata.file_name").alias("file_name"))
+                spark.read.schema("source_file string")
+                .parquet(f"{target}/{pass_folder(ingested_date, name)}")
+                .groupBy(F.col("source_file").alias("file_name"))
                 .agg(F.count("*").alias("row_count"))
             )
-            _record(spark, whole, counts, target, ingested_date)
-        done = batch[-1]["at"]
+            _record(spark, [row for row in batch if row.path in own], counts, name, target, ingested_date)
     return manifest(spark, target, ingested_date)
 
 
 def manifest(spark: SparkSession, target: str, ingested_date: str) -> DataFrame:
     """One row per file tried for a date: LOADED, EMPTY or FAILED; empty before the first run."""
-    path = f"{target}/_manifest"
-    if not _exists(spark, path):
-        return spark.createDataFrame([], ENTRY)
-    tried = spark.read.schema(ENTRY).parquet(path).filter(F.col("ingested_date") == ingested_date)
-    best = F.max(F.struct((F.col("status") != "FAILED").alias("landed"), "bytes", "landed_rows", "status"))
-    return tried.groupBy("ingested_date", "file_no", "file_name").agg(best.alias("best")).select(
-        "ingested_date", "file_no", "file_name", "best.bytes", "best.landed_rows", "best.status"
-    )
+    return entries(spark, target, ingested_date)
 
 
 def outcome(entries: DataFrame) -> DataFrame:
@@ -106,41 +91,53 @@ def outcome(entries: DataFrame) -> DataFrame:
 
 def _land(
     spark: SparkSession, paths: list[str], target: str, ingested_date: str, schema: StructType
-) -> list[str]:
-    """Land files in one job; returns the paths of those that cannot be read.
+) -> tuple[dict[str, list[str]], set[str]]:
+    """Land files in one job; the passes with their paths, and the paths that cannot be read.
 
-    A job that meets an unreadable file lands nothing. Its files are then tried in halves,
-    down to the single file, so a broken file costs a few jobs and the others land.
+    Rows lie as the tasks read them, many small files to a task, so a date has files by its bytes, not
+    by its sources. A job that meets an unreadable file publishes nothing. Its files are then tried
+    in halves, down to the single file, so a broken file costs a few jobs and the others land.
     """
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", False).parquet(*paths)
+    name = uuid.uuid4().hex
     try:
-        (
-            rows.select(
-                *schema.fieldNames(),
-                F.lit(ingested_date).alias("ingested_date"),
-                F.col("_metadata.file_name").alias("source_file"),
-            )
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ingested_date", "source_file")
-            .parquet(target)
-        )
+        rows.select(
+            *schema.fieldNames(),
+            F.col("_metadata.file_name").alias("source_file"),
+            F.col("_metadata.row_index").alias("source_row"),
+        ).write.parquet(f"{target}/{pass_folder(ingested_date, name)}")
     except (PySparkException, Py4JJavaError) as error:
-        if not any(name in str(error) for name in UNREADABLE):
+        if not unreadable(error):
             raise
         if len(paths) == 1:
-            return paths
+            return {}, set(paths)
         half = len(paths) // 2
-        return [
-            path
-            for part in (paths[:half], paths[half:])
-            for path in _land(spark, part, target, ingested_date, schema)
-        ]
-    return []
+        landed, broken = _land(spark, paths[:half], target, ingested_date, schema)
+        others, also_broken = _land(spark, paths[half:], target, ingested_date, schema)
+        return landed | others, broken | also_broken
+    return {name: paths}, set()
+
+
+def unreadable(error: Exception) -> bool:
+    """Whether a file that cannot be read is behind an error, by the conditions along its causes."""
+    cause = getattr(error, "_origin", None) or getattr(error, "java_exception", None)
+    if cause is None:
+        return any(name in str(error) for name in UNREADABLE)
+    while cause is not None:
+        condition = cause.getCondition() if hasattr(cause, "getCondition") else None
+        if condition and condition.split(".")[0] in UNREADABLE:
+            return True
+        cause = cause.getCause()
+    return False
 
 
 def _record(
-    spark: SparkSession, files: list, counts: DataFrame | None, target: str, ingested_date: str
+    spark: SparkSession,
+    files: list,
+    counts: DataFrame | None,
+    landed_in: str | None,
+    target: str,
+    ingested_date: str,
 ) -> None:
     """Append what became of the files of a pass; without counts they have failed."""
     if not files:
@@ -149,21 +146,11 @@ def _record(
         [(ingested_date, row.file_no, row.file_name, row.length) for row in files],
         "ingested_date string, file_no bigint, file_name string, bytes bigint",
     )
+    place = F.lit(landed_in).cast("string").alias("landed_in")
     if counts is None:
-        entries = tried.select("*", F.lit(0).cast("bigint").alias("landed_rows"), F.lit("FAILED").alias("status"))
+        found = tried.select("*", F.lit(0).cast("bigint").alias("landed_rows"), F.lit("FAILED").alias("status"), place)
     else:
         landed = F.coalesce("row_count", F.lit(0)).cast("bigint")
-        entries = tried.join(counts, "file_name", "left").select(
-            *tried.columns, landed.alias("landed_rows"), F.when(landed > 0, "LOADED").otherwise("EMPTY").alias("status")
-        )
-    entries.coalesce(1).write.mode("append").parquet(f"{target}/_manifest")  # one pass, bounded
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("value string").text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+        status = F.when(landed > 0, "LOADED").otherwise("EMPTY").alias("status")
+        found = tried.join(counts, "file_name", "left").select(*tried.columns, landed.alias("landed_rows"), status, place)
+    found.coalesce(1).write.mode("append").parquet(f"{target}/_manifest")  # one pass, bounded

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from tallybeat.functions.columns import leading_number, to_instant
-from tallybeat.sources import records
+from tallybeat.sources import landings, records
 
 LISTENS = (
     "listened_at timestamp, created timestamp, user_id bigint, recording_msid string, "
@@ -72,11 +72,17 @@ def read_listens(
     ingested_date: str | None = None,
     schema: StructType | str = LISTENS,
 ) -> DataFrame:
-    """Landed listens; with a date only that ``ingested_date=`` folder is listed and read.
+    """Landed listens, of one date if given; that date's folders alone are listed and read.
 
-    A date that has not landed is an error, not an empty table.
+    Where a record of landings lies, only the passes that it names are read; else the folder is what
+    it holds. A date that has not landed is an error, not an empty table.
     """
     declared = schema if isinstance(schema, StructType) else DataType.fromDDL(schema)
+    if landings.has_record(spark, root):
+        recorded = landings.entries(spark, root, ingested_date)
+        if ingested_date is not None and recorded.isEmpty():
+            raise FileNotFoundError(f"{root}: nothing has landed for {ingested_date}")
+        return landings.read_landed(spark, root, recorded, declared)
     dated = StructType(list(declared.fields)).add("ingested_date", "string")
     reader = spark.read.schema(dated).option("basePath", root)
     return reader.parquet(root if ingested_date is None else f"{root}/ingested_date={ingested_date}")
@@ -143,21 +149,28 @@ def rows_per_file(
 
 
 def source_name(path: Column) -> Column:
-    """Base name of a file, or of the source file it landed from."""
-    landed_from = F.regexp_extract(path, "/source_file=([^/]+)/", 1)
-    return F.when(landed_from != "", landed_from).otherwise(F.substring_index(path, "/", -1))
+    """Base name of a file."""
+    return F.substring_index(path, "/", -1)
 
 
 def first_files(spark: SparkSession, path: str, n: int, columns: Sequence[str]) -> DataFrame:
-    """Selected columns of the ``n`` lowest-numbered Parquet files, with reading order."""
-    files = list_files(spark, path, "*.parquet")
-    chosen = numbered(files.select("file_no", "file_name").distinct()).limit(n)
-    of_chosen = files.join(F.broadcast(chosen.select("file_name")), "file_name")
-    paths = [row.path for row in of_chosen.select("path").collect()]  # names of n files
-    return spark.read.parquet(*paths).select(
-        *columns,
-        leading_number(source_name(F.col("_metadata.file_path"))).alias("file_no"),
-        leading_number(F.col("_metadata.file_name")).alias("part_no"),
-        F.col("_metadata.row_index").alias("row_no"),
-    )
+    """Selected columns of the ``n`` lowest-numbered Parquet files, with reading order.
 
+    A landed folder is read by its record: files are then those that the rows came from.
+    """
+    if landings.has_record(spark, path):
+        landed = landings.entries(spark, path).filter(F.col("landed_rows") > 0)
+        chosen = [row.file_name for row in numbered(landed.select("file_no", "file_name").distinct()).limit(n).collect()]
+        recorded = landed.filter(F.col("file_name").isin(chosen))
+        schema = parquet_schema(spark, f"{path}/ingested_date=*")
+        rows = landings.read_landed(spark, path, recorded, schema).filter(F.col("source_file").isin(chosen))
+        place = (leading_number(F.col("source_file")), F.lit(0).cast("bigint"), F.col("source_row"))
+    else:
+        files = list_files(spark, path, "*.parquet")
+        chosen = numbered(files.select("file_no", "file_name").distinct()).limit(n)
+        of_chosen = files.join(F.broadcast(chosen.select("file_name")), "file_name")
+        rows = spark.read.parquet(*[row.path for row in of_chosen.select("path").collect()])  # names of n files
+        name = F.col("_metadata.file_name")
+        place = (leading_number(name), leading_number(name), F.col("_metadata.row_index"))
+    names = ("file_no", "part_no", "row_no")
+    return rows.select(*columns, *(value.alias(name) for value, name in zip(place, names)))

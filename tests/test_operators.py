@@ -150,3 +150,20 @@ def test_counts_profile_schema_reconcile(spark):
     assert rows_of(quality.reconcile(wanted, found, "f")) == [("1", "MISSING"), ("2", "OK"), ("3", "EXTRA")]
     assert rows_of(quality.reconcile_summary(wanted, found, "f")) == [(2, 2, "MISMATCH")]
     assert rows_of(quality.reconcile_summary(wanted, wanted, "f")) == [(2, 2, "OK")]
+
+
+def test_reconcile_content(spark):
+    """Order does not matter; a changed value, a row twice for another, a null key, a file on one side."""
+    schema = "f string, a int, b string"
+    left = [("same", i, "x") for i in range(5)] + [("value", 1, "x"), ("twice", 1, "x"), ("twice", 1, "x"), ("twice", 2, "y")]
+    left += [("late", 1, "x"), (None, 1, None), ("swap", 1, "2"), ("count", 1, "x")]
+    right = [("same", i, "x") for i in reversed(range(5))] + [("value", 1, "z"), ("twice", 2, "y"), ("twice", 2, "y"), ("twice", 1, "x")]
+    right += [("stray", 1, "x"), (None, 1, None), ("swap", 2, "1"), ("count", 1, "x"), ("count", 1, "x")]
+    found = quality.reconcile_content(
+        spark.createDataFrame(left, schema).repartition(3), spark.createDataFrame(right, schema), "f", ["a", "b"]
+    )
+    assert rows_of(found, "f", "expected_rows", "found_rows", "status") == [
+        ("count", 1, 2, "DIFFERENT"), ("late", 1, 0, "MISSING"), ("same", 5, 5, "OK"), ("stray", 0, 1, "EXTRA"),
+        ("swap", 1, 1, "DIFFERENT"), ("twice", 3, 3, "DIFFERENT"), ("value", 1, 1, "DIFFERENT"), (None, 1, 1, "OK"),
+    ]
+    assert quality.reconcile_content(spark.createDataFrame([], schema), spark.createDataFrame([], schema), "f", ["a"]).count() == 0
