@@ -266,6 +266,47 @@ def fact_view_revenue(r: Roles) -> DataFrame:
     return r.view_revenue()
 
 
+@query(f"""WITH {s.VIEW_FACT}
+SELECT country, n_regionkey NOT IN (2, 4) OR views < 45 AS kept, count(*) AS row_count,
+       CASE WHEN n_regionkey IN (2, 4) AND views >= 45 THEN '{facts.TOO_LARGE}' END AS reject_reason
+FROM view_fact JOIN nation ON country = upper(n_name) GROUP BY ALL""")
+def fact_view_rejects(r: Roles) -> DataFrame:
+    """Absurd counts at raised rates: amounts the money type cannot hold go to the rejects, the rest stays."""
+    absurd = F.when(F.col("views") >= 45, F.lit(9 * 10**18)).otherwise(F.col("views")).alias("views")
+    views = r.views().select("view_date", "video_id", "country", absurd)
+    dear = r.rates().withColumn("rate_per_view_usd", (F.col("rate_per_view_usd") * 10_000).cast(k.VIEW_RATE))
+    kept = facts.view_revenue_daily(views, dear, r.videos()).withColumn("reject_reason", F.lit(None).cast("string"))
+    refused = facts.view_revenue_rejects(views, dear, r.videos())
+    sides = [
+        side.select("country", "reject_reason", F.lit(stays).alias("kept"))
+        for side, stays in ((kept, True), (refused, False))
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("country", "kept", "reject_reason").agg(F.count("*").alias("row_count"))
+
+
+@query(f"""WITH {s.VIEWS}, periods AS (
+  SELECT upper(n_name) AS country, year, make_date(year, 1, 1) AS begins,
+         CASE WHEN year < 2000 THEN least(make_date(year + 2, 1, 1) - 1,
+              CASE WHEN n_regionkey = 1 THEN make_date(year + 2, 12, 31) ELSE make_date(year + 1, 6, 30) END) END AS ends,
+         cast(0.0005 * (n_regionkey + year - 1995) AS decimal(12,8)) AS rate
+  FROM nation, (VALUES (1996), (1998), (2000)) y(year) WHERE n_regionkey <> 3),
+days AS (SELECT view_date[:4] AS view_year, view_date::date AS day, country, views FROM views
+         JOIN part ON video_id = 'VID'||p_partkey AND p_type <> 'PROMO')
+SELECT d.country, view_year, cast(sum(views) AS bigint) AS views, count(rate) AS rated_rows,
+       {s.num("sum(cast(cast(views AS decimal(30,0)) * rate AS decimal(18,8)))")} AS youtube_revenue_usd
+FROM days d LEFT JOIN periods p ON d.country = p.country AND d.day >= p.begins AND (p.ends IS NULL OR d.day <= p.ends)
+GROUP BY ALL""")
+def fact_view_revenue_by_validity(r: Roles) -> DataFrame:
+    """Rates in force on the day of the view: periods with gaps, overlaps (region 1) and an open end."""
+    periods = conform(r.raw_rate_periods(), silver.RATE_PERIODS)
+    fact = facts.view_revenue_daily(r.views(), periods, r.videos(), by_validity=True)
+    return fact.groupBy("country", F.substring(F.col("date_key").cast("string"), 1, 4).alias("view_year")).agg(
+        F.sum("views").alias("views"),
+        F.count("rate_per_view_usd").alias("rated_rows"),
+        F.sum("youtube_revenue_usd").alias("youtube_revenue_usd"),
+    )
+
+
 @query(f"""WITH {s.PARTNER_FACT}
 SELECT month_key, asset_id, track_id, artist_id, distributor_id, platform_id, country, {REVENUE_EDGE}
 FROM partner_fact""")
@@ -735,16 +776,56 @@ def register_location(r: Roles) -> DataFrame:
     )
 
 
-@query("SELECT unnest(['dim_nation', 'fact_orders', 'fact_customers']) AS table_name")
+REGION_TABLES = "SELECT 'nations_' || lower(replace(r_name, ' ', '_')) AS table_name FROM region"
+
+
+@query(REGION_TABLES)
 def list_tables(r: Roles) -> DataFrame:
-    return tables.list_tables(r.spark, _three_tables(r)).select("table_name")
+    """One table per region, found again by its name."""
+    return tables.list_tables(r.spark, _region_tables(r)).select("table_name")
+
 
+@query(f"SELECT * FROM ({REGION_TABLES}) WHERE contains(table_name, 'as') AND starts_with(table_name, 'nations_')")
+def filtered_tables(r: Roles) -> DataFrame:
+    return tables.list_tables(r.spark, _region_tables(r), contains="as", prefix="nations_").select("table_name")
 
-@query("SELECT 'dim_nation' AS table_name")
+
+@query(f"SELECT *, contains(table_name, 'a_') OR contains(table_name, 'am') AS gone FROM ({REGION_TABLES})")
 def bulk_drop(r: Roles) -> DataFrame:
-    name = _three_tables(r)
-    tables.drop_tables(r.spark, name, "fact")
-    return tables.list_tables(r.spark, name).select("table_name")
+    """What two bulk drops by name leave of the tables, and what they report as gone."""
+    name = _region_tables(r)
+    gone = [n.split(".")[-1] for part in ("a_", "am") for n in tables.drop_tables(r.spark, name, part)]
+    left = tables.list_tables(r.spark, name).select("table_name", F.lit(False).alias("gone"))
+    return left.unionByName(r.spark.createDataFrame([(n, True) for n in gone], left.schema))
+
+
+@query("SELECT 'of_' || lower(replace(r_name, ' ', '_')) AS namespace FROM region")
+def list_namespaces(r: Roles) -> DataFrame:
+    """A namespace per region, made twice without harm and listed."""
+    tag = uuid.uuid4().hex[:12]
+    for row in r.table("region").select("r_name").collect():  # five names
+        for _ in range(2):
+            name = f"t{tag}_of_{_plain_name(row.r_name)}"
+            tables.create_namespace(r.spark, name, run_dir(r.spark, name))
+    listed = tables.list_namespaces(r.spark).filter(F.col("namespace").startswith(f"t{tag}_"))
+    return listed.select(F.substr("namespace", F.lit(len(tag) + 3)).alias("namespace"))
+
+
+@query("""SELECT status, count(o_orderkey) > 0 AS there FROM (VALUES ('F'), ('O'), ('P'), ('X')) v(status)
+LEFT JOIN orders ON o_orderstatus = status GROUP BY status""")
+def required_paths(r: Roles) -> DataFrame:
+    """Which folders of a partitioned delivery pass the precondition of a job."""
+    path = run_dir(r.spark, "orders")
+    r.table("orders").hint("rebalance", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+
+    def there(status: str) -> bool:
+        try:
+            ingest.require_path(r.spark, f"{path}/o_orderstatus={status}")
+        except FileNotFoundError:
+            return False
+        return True
+
+    return r.spark.createDataFrame([(status, there(status)) for status in "FOPX"], "status string, there boolean")
 
 
 @query("""SELECT 'OK' AS status, count(*) AS row_count, 'dim_nation' AS table_name FROM nation
@@ -766,6 +847,19 @@ def run_log(r: Roles) -> DataFrame:
     return tables.latest_writes(r.spark, f"{name}.run_log").select("table_name", "row_count", "message")
 
 
+def _plain_name(text: str) -> str:
+    return text.lower().replace(" ", "_")
+
+
+def _region_tables(r: Roles) -> str:
+    """A namespace with the nations of each region as a table."""
+    name = namespace(r.spark)
+    for row in r.table("region").collect():  # five regions
+        nations = r.table("nation").filter(F.col("n_regionkey") == row.r_regionkey)
+        tables.write_table(nations, f"{name}.nations_{_plain_name(row.r_name)}")
+    return name
+
+
 def _three_tables(r: Roles) -> str:
     name = namespace(r.spark)
     tables.write_table(r.table("nation"), f"{name}.dim_nation")

@@ -130,6 +130,23 @@ class Roles:
             F.concat(F.col("year").cast("string"), F.lit("-12-31")).alias("effective_to"),
         )
 
+    def raw_rate_periods(self) -> DataFrame:
+        """Three periods per nation: with gaps, overlapping for region 1, the last without an end."""
+        nation = self.table("nation").filter(F.col("n_regionkey") != 3)
+        years = nation.select("*", F.explode(F.array(F.lit(1996), F.lit(1998), F.lit(2000))).alias("year"))
+        until = F.when(F.col("n_regionkey") == 1, F.format_string("%d-12-31", F.col("year") + 2)).otherwise(
+            F.format_string("%d-06-30", F.col("year") + 1)
+        )
+        return years.select(
+            F.lower("n_name").alias("country"),
+            F.col("n_name").alias("country_name"),
+            (F.lit("0.0005").cast("decimal(8,4)") * (F.col("n_regionkey") + F.col("year") - 1995)).alias(
+                "rate_per_view_usd"
+            ),
+            F.format_string("%d-01-01", F.col("year")).alias("effective_from"),
+            F.when(F.col("year") < 2000, until).alias("effective_to"),
+        )
+
     def raw_views(self) -> DataFrame:
         """Quantity less 3: corrections make some counts negative; line 7 has no count."""
         suppliers = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")

@@ -1,6 +1,7 @@
 """Equi-joins in the forms the jobs need.
 
-None of them carries a broadcast hint for a table whose size depends on the data: Spark
+A table whose size depends on the data is marked for broadcast only after a count of its rows
+(``small_side``). Otherwise Spark
 broadcasts a side below ``spark.sql.autoBroadcastJoinThreshold`` by itself, from file
 statistics or from the measured size of a finished stage, and otherwise sorts and merges,
 splitting hot partitions (``spark.sql.adaptive.skewJoin``).
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallybeat.sources.tables import staged
 
@@ -31,6 +33,63 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, values: Sequence[str]) -
     return rows.join(table.select(key, *values), key, "inner")
 
 
+#: Rows up to which a counted side is broadcast, and days of a bucket beyond.
+SMALL, BUCKET = 50_000, 32
+
+
+def is_small(table: DataFrame, most: int = SMALL) -> bool:
+    """Whether a table has at most ``most`` rows; counting stops there."""
+    return table.limit(most + 1).count() <= most
+
+
+def small_side(table: DataFrame, most: int = SMALL) -> DataFrame:
+    """A table marked for broadcast if a count shows it is small; else Spark decides."""
+    return F.broadcast(table) if is_small(table, most) else table
+
+
+def in_force(periods: DataFrame, on: str, start: str, end: str) -> DataFrame:
+    """Periods cut so that on every day at most one of a key is in force: of those begun, the last.
+
+    A period ends with its own end (null: never) or on the day before the next one of its key
+    begins. A null start is before all others. Of periods of one key and start the longest stays, then
+    the largest by its other columns. Those that end before they begin go.
+    """
+    others = sorted(c for c in periods.columns if c not in (on, start, end))
+    longest = F.struct(F.col(end).isNull().alias("open"), F.col(end).alias("end"), *others)
+    one = periods.filter(F.col(start).isNull() | F.col(end).isNull() | (F.col(start) <= F.col(end)))
+    one = one.groupBy(on, start).agg(F.max(longest).alias("_kept"))
+    following = F.lead(start).over(Window.partitionBy(on).orderBy(F.asc_nulls_first(start)))
+    return one.select(
+        on, start, F.least(F.col("_kept.end"), F.date_sub(following, 1)).alias(end), *[F.col(f"_kept.{c}") for c in others]
+    )
+
+
+def valid_at(
+    rows: DataFrame, periods: DataFrame, on: str, day: str, start: str, end: str, most: int = SMALL
+) -> DataFrame:
+    """Left join of rows with the period of their key in force on their day; one row each.
+
+    Periods go through ``in_force``. Few of them, by a count, are broadcast. More are met in buckets of
+    days: a period lies in every bucket that it touches between the first and last day of the
+    rows, so rows and periods meet by key and bucket and only the days within are compared.
+    """
+    valid = in_force(periods, on, start, end)
+    covers = (F.col(start).isNull() | (F.col(day) >= F.col(start))) & (F.col(end).isNull() | (F.col(day) <= F.col(end)))
+    values = [c for c in valid.columns if c != on]
+    named = valid.select(F.col(on).alias("_on"), *values)
+    same = F.col(on) == F.col("_on")
+    if is_small(periods, most):
+        return rows.join(F.broadcast(named), same & covers, "left").select(*rows.columns, *values)
+    first, last = (rows.select(of(day)).scalar() for of in (F.min, F.max))
+    bucket = lambda d: F.floor(F.unix_date(d) / F.lit(BUCKET))
+    low, high = bucket(F.greatest(F.col(start), first)), bucket(F.least(F.col(end), last))
+    buckets = F.when(low <= high, F.sequence(low, high))
+    cut = named.select("*", F.explode(buckets).alias("_bucket"))
+    placed = rows.withColumn("_day_bucket", bucket(F.col(day)))
+    met = placed.join(cut, same & (F.col("_day_bucket") == F.col("_bucket")) & covers, "left")
+    return met.select(*rows.columns, *values)
+
+
 #: Rows that one task may make of one key.
 TILE = 1 << 22
 

@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybeat.sources.files import unreadable
+
 COUNTS = "table_name string, row_count bigint, status string"
 
 
@@ -28,15 +32,42 @@ def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def count_tables_tolerant(spark: SparkSession, names: list[str]) -> DataFrame:
-    """Rows per named table; a missing or unreadable one is reported and the rest counted."""
-    report = []
+    """Rows per named table; a missing or unreadable one is reported and the rest counted.
+
+    Names are resolved first, which reads no rows; then one job counts all tables, by their rows' names
+    alone: no column is read. Only if a file cannot be read the tables are counted in halves, down
+    to the one that holds it. Any other error is raised.
+    """
+    tables = {}
     for name in names:
         try:
-            report.append((name, spark.table(name).count(), "OK"))
-        except Exception:  # whatever is wrong with one table, the others are counted
-            report.append((name, None, "ERROR"))
-    total = sum(rows or 0 for _, rows, _ in report)
-    return spark.createDataFrame([*report, ("TOTAL", total, "OK")], COUNTS)
+            if spark.catalog.tableExists(name):
+                tables[name] = spark.table(name)
+        except AnalysisException:  # a name or a definition that cannot be resolved
+            continue
+    counts = _counted(tables)
+    report = [(name, counts.get(name), "OK" if name in counts else "ERROR") for name in names]
+    return spark.createDataFrame([*report, ("TOTAL", sum(counts.values()), "OK")], COUNTS)
+
+
+def _counted(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of the tables that can be read; one job unless one cannot."""
+    if not tables:
+        return {}
+    try:
+        marks = [rows.select(F.lit(name).alias("table_name")) for name, rows in tables.items()]
+        found = reduce(DataFrame.unionByName, marks).groupBy("table_name").count().collect()
+        return dict.fromkeys(tables, 0) | {row.table_name: row["count"] for row in found}
+    except (PySparkException, Py4JJavaError) as error:
+        if isinstance(error, AnalysisException):
+            pass  # a table went between its name and its count
+        elif not unreadable(error):
+            raise
+    if len(tables) == 1:
+        return {}
+    names = list(tables)
+    half = len(names) // 2
+    return {n: c for part in (names[:half], names[half:]) for n, c in _counted({n: tables[n] for n in part}).items()}
 
 
 def schema_report(rows: DataFrame) -> DataFrame:

@@ -12,36 +12,65 @@ from pyspark.sql import functions as F
 
 from tallybeat import constants as k
 from tallybeat.functions.columns import date_key, typed_null
-from tallybeat.operators.joins import TILE, fan_out_join, lookup
+from tallybeat.operators.conform import REASON
+from tallybeat.operators.joins import TILE, fan_out_join, lookup, small_side, valid_at
 
 #: An asset has a row per day or month: more than the days of a century it cannot have.
 PERIODS_PER_ASSET = 36_525
 PERIOD = ["revenue_period", "period_type", "source_type", "asset_id"]
 
 
-def view_revenue_daily(views: DataFrame, rates: DataFrame, videos: DataFrame) -> DataFrame:
-    """Views times the rate of their country.
+RATE = ["rate_per_view_usd"]
+TOO_LARGE = "youtube_revenue_usd out of range"
 
-    A country without a rate keeps its views with unknown revenue; a view of a video that
-    is not in the catalog, or has no asset, is left out.
+
+def _priced(views: DataFrame, rates: DataFrame, videos: DataFrame, by_validity: bool) -> DataFrame:
+    """Views with their asset and rate; ``_refused`` marks amounts that the money type cannot hold.
+
+    Rates meet the views first, where they are broadcast if a count shows they are few, so only
+    the video shuffles the views.
     """
+    if by_validity:
+        priced = valid_at(views, rates, "country", "view_date", "effective_from", "effective_to")
+    else:
+        priced = views.join(small_side(rates.select("country", *RATE)), "country", "left")
     assets = videos.filter(F.col("asset_id").isNotNull())
-    return (
-        lookup(views, assets, "video_id", ["asset_id", "channel_id"])
-        .join(rates.select("country", "rate_per_view_usd"), "country", "left")
-        .select(
-            date_key(F.col("view_date")).alias("date_key"),
-            "asset_id",
-            "video_id",
-            "channel_id",
-            "country",
-            "views",
-            "rate_per_view_usd",
-            (F.col("views") * F.col("rate_per_view_usd")).cast(k.USD).alias("youtube_revenue_usd"),
-        )
+    product = F.col("views") * F.col(RATE[0])
+    amount = product.try_cast(k.USD)
+    return lookup(priced, assets, "video_id", ["asset_id", "channel_id"]).select(
+        date_key(F.col("view_date")).alias("date_key"),
+        "asset_id",
+        "video_id",
+        "channel_id",
+        "country",
+        "views",
+        *RATE,
+        amount.alias("youtube_revenue_usd"),
+        (amount.isNull() & F.col("views").isNotNull() & F.col(RATE[0]).isNotNull()).alias("_refused"),
     )
 
 
+def view_revenue_daily(
+    views: DataFrame, rates: DataFrame, videos: DataFrame, by_validity: bool = False
+) -> DataFrame:
+    """Views times the rate of their country.
+
+    A country without a rate keeps its views with unknown revenue; a view of a video that
+    is not in the catalog, or has no asset, is left out. A row whose amount the money type cannot
+    hold does not stop the others; ``view_revenue_rejects`` lists it. By default a country has one
+    rate; with ``by_validity`` rates are periods, and the one in force on the day counts.
+    """
+    return _priced(views, rates, videos, by_validity).filter(~F.col("_refused")).drop("_refused")
+
+
+def view_revenue_rejects(
+    views: DataFrame, rates: DataFrame, videos: DataFrame, by_validity: bool = False
+) -> DataFrame:
+    """The rows that ``view_revenue_daily`` refuses, with the reason."""
+    refused = _priced(views, rates, videos, by_validity).filter("_refused").drop("_refused", "youtube_revenue_usd")
+    return refused.withColumn(REASON, F.lit(TOO_LARGE))
+
+
 def partner_revenue_monthly(revenue: DataFrame, tracks: DataFrame) -> DataFrame:
     """Reported revenue with the asset of its track; unknown tracks are left out."""
     assets = tracks.filter(F.col("asset_id").isNotNull())

@@ -20,12 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallybeat.operators.joins import keep_strangers
-from tallybeat.sources.files import list_files, parquet_schema
+from tallybeat.sources.files import list_files, parquet_schema, unreadable
 from tallybeat.sources.landings import entries, pass_folder, path_exists
 
 PATTERN = "*.parquet"
-#: How Spark names a file that it cannot read.
-UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
 
 
 def require_path(spark: SparkSession, path: str) -> None:
@@ -118,19 +116,6 @@ def _land(
     return {name: paths}, set()
 
 
-def unreadable(error: Exception) -> bool:
-    """Whether a file that cannot be read is behind an error, by the conditions along its causes."""
-    cause = getattr(error, "_origin", None) or getattr(error, "java_exception", None)
-    if cause is None:
-        return any(name in str(error) for name in UNREADABLE)
-    while cause is not None:
-        condition = cause.getCondition() if hasattr(cause, "getCondition") else None
-        if condition and condition.split(".")[0] in UNREADABLE:
-            return True
-        cause = cause.getCause()
-    return False
-
-
 def _record(
     spark: SparkSession,
     files: list,

@@ -61,8 +61,9 @@ class Lakehouse:
 
     def conform_table(self, bronze: str, spec: TableSpec) -> int:
         """One bronze CSV folder to its conformed table."""
-        raw = files.read_csv(self.spark, f"{bronze}/{spec.name}", free_text=spec.free_text)
-        return self.write(conform(raw, spec), self.silver, spec.name, spec.partition_by)
+        with tables.staging(self.spark):
+            raw = files.read_csv(self.spark, f"{bronze}/{spec.name}", free_text=spec.free_text)
+            return self.write(conform(raw, spec), self.silver, spec.name, spec.partition_by)
 
     def build_streams(self, bronze: str, ingested_date: str) -> int:
         """Listens of one ingest date to monthly streams of the active tracks."""
@@ -114,9 +115,10 @@ class Lakehouse:
             ),
             "source_type",
         )
-        assets = tables.staged(facts.asset_revenue(of_gold("fact_content_revenue_unified")), "asset_revenue")
-        mapping = of_silver("content_contributor_mapping")
-        add("fact_contributor_revenue", facts.contributor_revenue(assets, mapping), "source_type")
+        with tables.staging(self.spark):
+            assets = facts.asset_revenue(of_gold("fact_content_revenue_unified"))
+            mapping = of_silver("content_contributor_mapping")
+            add("fact_contributor_revenue", facts.contributor_revenue(assets, mapping), "source_type")
         return counts
 
     # reports -----------------------------------------------------------------------------
@@ -162,39 +164,40 @@ def generate_bronze(
     view_days: int = k.VIEW_DAYS,
 ) -> None:
     """Write the reference CSVs, made from ids found in the first landed listen files."""
-    pool_columns = [
-        "recording_mbid",
-        "recording_name",
-        "artist_name",
-        "artist_credit_mbids",
-        "release_name",
-        "release_mbid",
-    ]
-    listens = files.first_files(spark, listens_path, sample_files, pool_columns)
-    # Masters feed several outputs: make them once, in the shared folder.
-    artists = tables.staged(synth.artists(synth.artist_pool(listens), artist_count, seed), "artists")
-    tracks = tables.staged(
-        synth.tracks(synth.recording_pool(listens), artists, track_count, seed), "tracks"
-    )
-    contributors = synth.contributors(synth.numbers(spark, contributor_count), seed)
-    videos = tables.staged(
-        synth.videos(synth.numbers(spark, video_count), tracks, channel_count, seed), "videos"
-    )
-    outputs = {
-        "platforms": synth.platforms(spark),
-        "distributors": synth.distributors(spark),
-        "youtube_rate": synth.rates(spark),
-        "artists": artists,
-        "tracks": tracks,
-        "contributors": contributors,
-        "youtube_channels": synth.channels(synth.numbers(spark, channel_count), seed),
-        "youtube_videos": videos,
-        "distributor_revenue_monthly": synth.partner_revenue(tracks, month_count, seed),
-        "youtube_view_daily": synth.daily_views(videos, view_days, seed),
-        "content_contributor_mapping": synth.whole_mapping(tracks, videos, contributors, seed),
-    }
-    for name, rows in outputs.items():
-        files.write_csv(rows.drop("rank") if "rank" in rows.columns else rows, f"{bronze}/{name}")
+    with tables.staging(spark):
+        pool_columns = [
+            "recording_mbid",
+            "recording_name",
+            "artist_name",
+            "artist_credit_mbids",
+            "release_name",
+            "release_mbid",
+        ]
+        listens = files.first_files(spark, listens_path, sample_files, pool_columns)
+        # Masters feed several outputs: make them once, in the shared folder.
+        artists = tables.staged(synth.artists(synth.artist_pool(listens), artist_count, seed), "artists")
+        tracks = tables.staged(
+            synth.tracks(synth.recording_pool(listens), artists, track_count, seed), "tracks"
+        )
+        contributors = synth.contributors(synth.numbers(spark, contributor_count), seed)
+        videos = tables.staged(
+            synth.videos(synth.numbers(spark, video_count), tracks, channel_count, seed), "videos"
+        )
+        outputs = {
+            "platforms": synth.platforms(spark),
+            "distributors": synth.distributors(spark),
+            "youtube_rate": synth.rates(spark),
+            "artists": artists,
+            "tracks": tracks,
+            "contributors": contributors,
+            "youtube_channels": synth.channels(synth.numbers(spark, channel_count), seed),
+            "youtube_videos": videos,
+            "distributor_revenue_monthly": synth.partner_revenue(tracks, month_count, seed),
+            "youtube_view_daily": synth.daily_views(videos, view_days, seed),
+            "content_contributor_mapping": synth.whole_mapping(tracks, videos, contributors, seed),
+        }
+        for name, rows in outputs.items():
+            files.write_csv(rows.drop("rank") if "rank" in rows.columns else rows, f"{bronze}/{name}")
 
 
 #: More rows than a report has.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -131,6 +133,9 @@ RATES = TableSpec(
     free_text=True,
 )
 
+#: The same with every period, for the join by validity.
+RATE_PERIODS = replace(RATES, key=("country", "effective_from"), order_by=("effective_to",))
+
 MAPPING = TableSpec(
     name="content_contributor_mapping",
     fields=(

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.session import run_dir
+from tallybeat.session import run_dir, shared_dir
 
 LOG = "table_name string, row_count bigint, message string"
 
@@ -41,14 +42,56 @@ def write_table(rows: DataFrame, name: str, partition_by: str | None = None) ->
     return counter.get["row_count"]
 
 
+#: Folders staged within the open scopes of this thread of work, the innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("staging scopes", default=())
+
+
 def staged(rows: DataFrame, name: str) -> DataFrame:
     """Write to a new place in the shared folder and read back.
 
-    Cuts the lineage: whoever uses the result, or loses an executor, reads files.
+    Cuts the lineage: whoever uses the result, or loses an executor, reads files. The files live
+    until the scope ends in which they were made (``staging``), outside of any scope until the
+    application ends.
     """
-    path = run_dir(rows.sparkSession, name)
+    spark = rows.sparkSession
+    path = run_dir(spark, f"staged/{name}")
+    scopes = _scopes.get()
+    if scopes:
+        scopes[-1].append(path)  # before the write, which may leave files even if it fails
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    if not scopes:
+        place, files = _place(spark, path)
+        files.deleteOnExit(place)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """A scope at whose end all that was staged within is removed.
+
+    Whatever reads staged files must be written, or collected, before. Also after an error nothing
+    stays, and a retry stages anew under other names, so it cannot meet half-written files.
+    """
+    made: list[str] = []
+    token = _scopes.set((*_scopes.get(), made))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in made:
+            place, files = _place(spark, path)
+            files.delete(place, True)
+
+
+def staged_folders(spark: SparkSession) -> list[str]:
+    """Names of the staged folders that are there."""
+    place, files = _place(spark, f"{shared_dir(spark)}/tallybeat/staged/*")
+    return sorted(found.getPath().getName() for found in files.globStatus(place) or [])
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 @contextmanager

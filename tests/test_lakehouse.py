@@ -29,7 +29,7 @@ def raw_listens(spark):
 
 
 def test_end_to_end(spark):
-    base = run_dir(spark, "house")
+    base, staged = run_dir(spark, "house"), tables.staged_folders(spark)
     raw, bronze = f"{base}/raw", f"{base}/bronze"
     raw_listens(spark).repartition(3).write.parquet(raw)
     entries = ingest.ingest(spark, raw, f"{bronze}/{lakehouse.LISTENS}", DATE)
@@ -50,6 +50,7 @@ def test_end_to_end(spark):
     house = lakehouse.Lakehouse(spark, f"s_{tag}", f"g_{tag}", location=base)
     house.log = f"{house.silver}.run_log"
     made = {**house.build_silver(bronze, DATE), **house.build_gold()}
+    assert tables.staged_folders(spark) == staged  # nothing of the run stays
     assert set(made) == {*lakehouse.SILVER_TABLES, *lakehouse.GOLD_TABLES}
     assert made["tracks"] == 40 and made["dim_content_asset"] == 50 and made["dim_date"] == 1096
     assert all(count > 0 for count in made.values())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallybeat.operators import quality
 from tallybeat.operators.dedupe import first_seen, flatten_lists, keep_first, one_per_minute
-from tallybeat.operators.joins import fan_out_grid, fan_out_join, keep_members, keep_strangers
+from tallybeat.operators.joins import fan_out_grid, fan_out_join, in_force, keep_members, keep_strangers, small_side, valid_at
 from tallybeat.operators.ranking import hash_rank, seeded_sample, top
 
 
@@ -167,3 +167,52 @@ def test_reconcile_content(spark):
         ("swap", 1, 1, "DIFFERENT"), ("twice", 3, 3, "DIFFERENT"), ("value", 1, 1, "DIFFERENT"), (None, 1, 1, "OK"),
     ]
     assert quality.reconcile_content(spark.createDataFrame([], schema), spark.createDataFrame([], schema), "f", ["a"]).count() == 0
+
+
+PERIODS = [
+    ("gap", "2024-01-01", "2024-03-31", 1), ("gap", "2024-06-01", None, 2),
+    ("over", "2024-01-01", "2024-12-31", 3), ("over", "2024-05-01", "2024-06-15", 4),
+    ("open", None, "2024-02-10", 5), ("open", "2024-02-05", "2024-02-20", 6),
+    ("tie", "2024-01-01", "2024-01-31", 7), ("tie", "2024-01-01", None, 8), ("tie", "2024-01-01", None, 9),
+    ("back", "2024-05-01", "2024-04-01", 10), ("days", "2024-02-29", "2024-02-29", 11),
+]
+
+
+def plain_rate(key, day):
+    """Of the periods begun by the day the last one, if it has not ended."""
+    begun = [p for p in PERIODS if p[0] == key and (not p[1] or not p[2] or p[1] <= p[2]) and (p[1] or "") <= day]
+    if not begun:
+        return None
+    last = max(begun, key=lambda p: (p[1] or "", p[2] is None, p[2] or "", p[3]))
+    return last[3] if last[2] is None or day <= last[2] else None
+
+
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_valid_at_against_brute_force(spark, most):
+    """Gaps, overlaps, open ends, equal starts, no period, null day: by broadcast and by buckets."""
+    import datetime
+
+    days = [str(datetime.date(2023, 12, 1) + datetime.timedelta(i)) for i in range(0, 500, 3)] + ["2024-02-29", "2024-02-05"]
+    rows = [(key, day) for key in {p[0] for p in PERIODS} | {"none"} for day in days]
+    odd = [("gap", None), (None, "2024-01-01")]
+    periods = spark.createDataFrame(PERIODS, "k string, a string, b string, rate int")
+    periods = periods.withColumns({"a": F.col("a").cast("date"), "b": F.col("b").cast("date")})
+    frame = spark.createDataFrame(rows + rows + odd, "k string, day string").withColumn("day", F.col("day").cast("date"))
+    found = valid_at(frame, periods, "k", "day", "a", "b", most).select("k", F.col("day").cast("string"), "rate")
+    assert rows_of(found) == sorted([(k, d, plain_rate(k, d)) for k, d in rows + rows] + [(*o, None) for o in odd], key=repr)
+    assert valid_at(frame.limit(0), periods, "k", "day", "a", "b", most).count() == 0
+    assert valid_at(frame, periods.limit(0), "k", "day", "a", "b", most).filter("rate is null").count() == len(rows) * 2 + 2
+    plan = plan_of(valid_at(frame, periods, "k", "day", "a", "b", most))
+    assert ("_day_bucket" in plan) == (most == 0) and "NestedLoop" not in plan
+
+
+def test_in_force_and_small_side(spark):
+    periods = spark.createDataFrame(PERIODS, "k string, a string, b string, rate int")
+    periods = periods.withColumns({"a": F.col("a").cast("date"), "b": F.col("b").cast("date")})
+    cut = in_force(periods, "k", "a", "b").filter("k in ('over', 'open', 'tie')")
+    assert rows_of(cut.select("k", F.col("a").cast("string"), F.col("b").cast("string"), "rate")) == [
+        ("open", "2024-02-05", "2024-02-20", 6), ("open", None, "2024-02-04", 5), ("over", "2024-01-01", "2024-04-30", 3),
+        ("over", "2024-05-01", "2024-06-15", 4), ("tie", "2024-01-01", None, 9),
+    ]
+    assert "broadcast" in small_side(spark.range(5), 5)._jdf.queryExecution().toString()
+    assert "broadcast" not in small_side(spark.range(6), 5)._jdf.queryExecution().toString()

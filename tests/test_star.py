@@ -172,7 +172,7 @@ def test_asset_dimension(spark, star):
 
 
 def test_large_dimensions_fall_back_to_split_merge_joins(spark):
-    """Without broadcasts a country with most of the views is cut into several tasks."""
+    """A counted rate table is broadcast; a large catalog is not, and a video with most views is cut into tasks."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
@@ -185,7 +185,7 @@ def test_large_dimensions_fall_back_to_split_merge_joins(spark):
     try:
         views = spark.range(0, 40000, 1, 8).select(
             F.lit(date(2025, 1, 1)).alias("view_date"),
-            F.concat(F.lit("v"), (F.col("id") % 50).cast("string")).alias("video_id"),
+            F.when(F.col("id") % 3 > 0, "v0").otherwise(F.concat(F.lit("v"), (F.col("id") % 50).cast("string"))).alias("video_id"),
             F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.concat(F.lit("C"), (F.col("id") % 97).cast("string"))).alias("country"),
             F.col("id").alias("views"),
         )
@@ -199,6 +199,7 @@ def test_large_dimensions_fall_back_to_split_merge_joins(spark):
         assert sum(row.youtube_revenue_usd for row in fact.collect()) == sum(range(40000))
         plan = plan_of(fact)  # the final one, after the run
         assert "isFinalPlan=true" in plan and "skew=true" in plan
+        assert plan.count("BroadcastHashJoin LeftOuter") > 0 and "hashpartitioning(country" not in plan
     finally:
         for key in settings:
             spark.conf.unset(key)
@@ -246,3 +247,50 @@ def test_large_amount_is_converted(spark):
         F.col("a").cast("decimal(18,6)").alias("revenue_original"), F.col("r").cast("decimal(18,10)").alias("exchange_rate")
     )
     assert str(amount.select(converted_amount().alias("x")).first().x) == "999999999999.50000000"
+
+
+def test_tolerant_counts_in_one_job(spark, namespace, tmp_path):
+    """All tables that can be read cost one job; a file that cannot be read costs some more, and no other table."""
+    import glob
+
+    for i in range(6):
+        spark.range(i).write.saveAsTable(f"{namespace}.t{i}")
+    path = str(tmp_path / "broken")
+    spark.range(50).repartition(1).write.parquet(path)
+    spark.catalog.createTable(f"{namespace}.broken", path=path, source="parquet")
+    names = [f"{namespace}.t{i}" for i in range(6)]
+
+    def jobs(make):
+        spark.sparkContext.setJobGroup("tolerant", "")
+        try:
+            return make(), len(spark.sparkContext.statusTracker().getJobIdsForGroup("tolerant"))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    whole, used = jobs(lambda: count_tables_tolerant(spark, names).collect())
+    assert [(r.row_count, r.status) for r in whole] == [*((i, "OK") for i in range(6)), (15, "OK")]
+    assert used <= 3  # one query, whose two stages adaptive execution submits one by one
+    for name in glob.glob(f"{path}/part-*.parquet"):
+        with open(name, "wb") as file:
+            file.write(b"no longer a Parquet file")
+    mixed = count_tables_tolerant(spark, [*names, f"{namespace}.broken", f"{namespace}.missing"]).collect()
+    assert [(r.row_count, r.status) for r in mixed] == [
+        *((i, "OK") for i in range(6)), (None, "ERROR"), (None, "ERROR"), (15, "OK"),
+    ]
+
+
+def test_absurd_views_do_not_stop_the_fact(spark):
+    """9e18 views at a rate of 12: listed with a reason; the other rows are there."""
+    day = F.to_date(F.lit("2025-01-01")).alias("view_date")
+    views = spark.createDataFrame([("v", "US", 9 * 10**18), ("v", "US", 3), ("v", "XX", 9 * 10**18), ("v", "US", None)], "video_id string, country string, views bigint")
+    views = views.select(day, "*")
+    rates = spark.createDataFrame([("US", Decimal("12.0"))], "country string, rate_per_view_usd decimal(12,8)")
+    videos = spark.createDataFrame([("v", "a", "c")], "video_id string, asset_id string, channel_id string")
+    kept = facts.view_revenue_daily(views, rates, videos)
+    assert rows_of(kept, "country", "views", "youtube_revenue_usd") == [
+        ("US", 3, Decimal("36.00000000")), ("US", None, None), ("XX", 9 * 10**18, None),
+    ]
+    refused = facts.view_revenue_rejects(views, rates, videos)
+    assert rows_of(refused, "country", "views", "reject_reason") == [("US", 9 * 10**18, facts.TOO_LARGE)]
+    plan = plan_of(kept)
+    assert "BroadcastHashJoin" in plan

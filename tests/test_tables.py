@@ -52,3 +52,26 @@ def test_list_drop_register_and_log(spark, namespace):
         tables.log_write(spark, f"{namespace}.log", f"t{i:02d}", i, "m")
     assert [row.row_count for row in tables.latest_writes(spark, f"{namespace}.log").collect()] == list(range(11, 1, -1))
     assert (namespace,) in rows_of(tables.list_namespaces(spark))
+
+
+def test_staging_removes_what_was_staged(spark):
+    """At the end of its scope, inner scopes first, also after an error; outside at the end of the application."""
+    before = tables.staged_folders(spark)
+    with tables.staging(spark):
+        outer = tables.staged(spark.range(5), "outer")
+        with tables.staging(spark):
+            inner = tables.staged(outer.select(F.col("id") * 2), "inner")
+            assert inner.count() == 5 and len(tables.staged_folders(spark)) == len(before) + 2
+        assert outer.count() == 5 and len(tables.staged_folders(spark)) == len(before) + 1
+    assert tables.staged_folders(spark) == before
+    try:
+        with tables.staging(spark):
+            tables.staged(spark.range(3), "first")
+            tables.staged(spark.range(3).select(F.raise_error(F.lit("no"))), "broken")
+    except Exception as error:
+        assert "no" in str(error)
+    assert tables.staged_folders(spark) == before
+    assert tables.staged(spark.range(5), "left").count() == 5
+    name = next(n for n in tables.staged_folders(spark) if n.startswith("left-") and n not in before)
+    place, files = tables._place(spark, f"{shared_dir(spark)}/tallybeat/staged/{name}")
+    assert files.cancelDeleteOnExit(place) and files.deleteOnExit(place)
