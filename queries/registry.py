@@ -508,6 +508,7 @@ def synth_revenue(r: Roles) -> DataFrame:
 SELECT video_id, country, count(*) AS days, min(view_date) AS first_day, max(view_date) AS last_day,
        cast(sum(views) AS bigint) AS views, max(views) AS most FROM synth_views GROUP BY video_id, country""")
 def synth_views(r: Roles) -> DataFrame:
+    """Views per video and country."""
     return (
         synth.daily_views(r.synth_videos())
         .groupBy("video_id", "country")
@@ -521,6 +522,12 @@ def synth_views(r: Roles) -> DataFrame:
     )
 
 
+@query(f"WITH {s.SYNTH_VIEWS} SELECT view_date, video_id, country, views FROM synth_views")
+def synth_views_by_day(r: Roles) -> DataFrame:
+    """Every generated row of views."""
+    return synth.daily_views(r.synth_videos())
+
+
 @query(f"""WITH {s.SYNTH_REVENUE}
 SELECT r.country, any_value(n.country_name) AS country_name, count(*) AS row_count, cast(sum(streams) AS bigint) AS streams
 FROM synth_revenue r JOIN (VALUES {", ".join(f"('{c}', '{n}')" for c, n, *_ in k.COUNTRIES)}) n(country, country_name)
@@ -707,14 +714,20 @@ LINEITEM = (
 ).split()
 
 
+TYPE_NAMES = """CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS column_type"""
+
+
 @query(
-    " UNION ALL ".join(
+    f"SELECT position, column_name, column_type, non_null FROM (SELECT column_name, {TYPE_NAMES} FROM (DESCRIBE lineitem)) JOIN ("
+    + " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, count({c}) AS non_null FROM lineitem"
         for i, c in enumerate(LINEITEM, 1)
     )
+    + ") USING (column_name)"
 )
 def table_profile(r: Roles) -> DataFrame:
-    return quality.profile(r.table("lineitem")).select("position", "column_name", "non_null")
+    return quality.profile(r.table("lineitem"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 5")
