@@ -149,18 +149,21 @@ def scan(docs: DataFrame, disclosed: float = DISCLOSED, lines: int = LINES) -> D
         texts.select("doc_id", "row_key", F.explode(terms(F.col("text"))).alias("term"))
         .join(told, "term")
         .groupBy("doc_id", "row_key")
-        .agg(F.array_join(F.sort_array(F.collect_set("term")), "|").alias("held"))
+        .agg(F.sort_array(F.collect_set("term")).alias("held"))
         .withColumnsRenamed({"doc_id": "held_id", "row_key": "held_key"})
     )
     own = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("row_key") == F.col("held_key"))
+    # The terms that a text holds are looked for in it as whole words, in any case.
+    wanted = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("held", "|"), F.lit(r")(?!\p{L})"))
     places = (
         texts.join(held, own)
-        .withColumn("all_words", t.found(F.col("text"), r"\p{L}+"))
-        .withColumn("places", t.placed(F.col("text"), r"\p{L}+", F.col("all_words")))
+        .withColumn("wanted", wanted)
+        .withColumn("hits", t.found(F.col("text"), F.col("wanted")))
+        .withColumn("places", t.placed(F.col("text"), F.col("wanted"), F.col("hits")))
         .select(
             "held_id",
             "held_key",
-            F.filter("places", lambda m: F.array_contains(F.split("held", r"\|"), F.lower(m["match"]))).alias("places"),
+            F.filter("places", lambda m: F.array_contains("held", F.lower(m["match"]))).alias("places"),
         )
         .dropDuplicates(["held_id", "held_key"])
     )
@@ -178,16 +181,4 @@ def marked(span: Column) -> Column:
 
 def sanitised(text: Column, spans: Column, mark: Callable[[Column], Column] = marked) -> Column:
     """The text with values replaced by their kind and terms generalised to ``[term]``, or by other marks."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.when(
-            s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, mark(s)).alias("out"))
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.aggregate(
-            spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-        )
-    )
+    return t.replaced(text, spans, mark)

@@ -168,16 +168,4 @@ def cleaned(docs: DataFrame, **options) -> DataFrame:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each span, or chain of overlapping spans, replaced by a mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.when(
-            s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.aggregate(
-            spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-        )
-    )
+    return t.replaced(text, spans, lambda s: F.lit(mark))
