@@ -12,6 +12,7 @@ angle by one more coordinate that gives all vectors the length of the longest.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -98,20 +99,22 @@ def search_block(index: pd.DataFrame, asked: pd.DataFrame, longest: float, k: in
     directions = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     may = candidates(strings(rows, longest, s), strings(directions, 1.0, s), s)
     rough = np.where(may, vectors @ rows.T, -np.inf)
-    take = min(len(rows), k + 5)
-    best = np.argpartition(-rough, take - 1, axis=1)[:, :take]
-    exact = np.add.accumulate(vectors[:, None, :] * rows[best], axis=2)[:, :, -1]
-    exact[~np.take_along_axis(may, best, axis=1)] = -np.inf
+    # A rough score is this near the exact one, so what can be among the k nearest, ties
+    # included, lies above the k-th rough score (one more: a query's own row) less twice as much.
+    near = 4 * rows.shape[1] * np.finfo(float).eps * np.linalg.norm(vectors, axis=1) * np.linalg.norm(rows, axis=1).max()
+    enough = min(len(rows), k + 1)
+    least = np.partition(rough, len(rows) - enough, axis=1)[:, len(rows) - enough] - 2 * near
     out = []
     for q, query in enumerate(own):
+        may_win = np.flatnonzero(may[q] & (rough[q] >= least[q]))
+        exact = np.add.accumulate(vectors[q] * rows[may_win], axis=1)[:, -1]
         found = [
-            (-exact[q, j], int(i), query)
-            for j, row in enumerate(best[q])
-            if exact[q, j] > -np.inf
+            (-score, int(i), query)
+            for score, row in zip(exact, may_win)
             for i in ids[first[row] : first[row + 1]][: k + 1]
             if i != query
         ]
-        out += sorted(found)[:k]
+        out += heapq.nsmallest(k, found)
     return pd.DataFrame({"query_id": [x[2] for x in out], "vec_id": [x[1] for x in out], "score": [-x[0] for x in out]})
 
 
