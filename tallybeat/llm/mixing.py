@@ -96,6 +96,33 @@ def apportion(parties: DataFrame, keys: list[str], within: list[str], seats: Col
     return parties.join(won, keys, "left").withColumn("quota", F.coalesce("quota", F.lit(0)))
 
 
+def levelled(quotas: DataFrame, block: int, most: int) -> DataFrame:
+    """Add ``wanted``, the words each line gives: its blocks, as far as it has room, and what evens out.
+
+    A line gives at most ``most`` times its words. What its source wants beyond the blocks
+    that fit, or less than them, goes to or from all lines of the source by one share of
+    their room, or of what they give. Parts of a word are rounded by a seeded draw, so a source
+    misses its target by about the square root of its number of lines, in words.
+    """
+    given = F.least(F.col("quota") * block, F.col("line") * most)
+    lines = quotas.withColumn("given", given).withColumn("room", F.col("line") * most - F.col("given"))
+    missing = (F.first("target") - F.sum("given")).alias("missing")
+    sources = lines.groupBy("source").agg(missing, F.sum("given").alias("gives"), F.sum("room").alias("rooms"))
+    sources = sources.select(
+        "source",
+        F.when((F.col("missing") > 0) & (F.col("rooms") > 0), F.least(F.col("missing") / F.col("rooms"), F.lit(1.0)))
+        .otherwise(0.0)
+        .alias("more"),
+        F.when((F.col("missing") < 0) & (F.col("gives") > 0), F.least(-F.col("missing") / F.col("gives"), F.lit(1.0)))
+        .otherwise(0.0)
+        .alias("less"),
+    )
+    draw = seeded(F.lit("line"), F.col("source"), F.col("shard")) / F.lit(float(2**60))
+    rounded = lambda part, share: F.least(F.floor(part * share + draw), part)
+    wanted = F.col("given") + rounded(F.col("room"), F.col("more")) - rounded(F.col("given"), F.col("less"))
+    return lines.join(sources, "source").withColumn("wanted", wanted).drop("given", "room", "more", "less")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -111,7 +138,8 @@ def mix(
     order are drawn from id and text, so rows that share an id, or have none, are spread;
     rows that repeat are shared out one by one. An
     empty table gives an empty result. ``taken`` counts repeats and is at most ``most``
-    sizes; the taken words of a source differ from its target by a block or two.
+    sizes; the taken words of a source differ from its target by about the square root of its
+    shards, in words, however short its documents (``levelled``).
     """
     sized = staged(
         docs.select(
@@ -146,10 +174,12 @@ def mix(
         "mix-quotas",
     )
 
+    quotas = levelled(quotas, block, most)
+
     line = Window.partitionBy("source", "shard").orderBy(
         seeded(F.lit("doc"), F.col("doc_id"), F.col("text_key")), "doc_id", "text_key"
     )
-    wanted = F.least(F.col("quota") * block, F.col("line") * most)
+    wanted = F.col("wanted")
     rounds = F.when(F.col("line") > 0, F.floor(wanted / F.col("line"))).otherwise(0)
     rest = wanted - rounds * F.col("line")
     before = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1))
