@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybeat.llm.components import components
+from tallybeat.llm.components import components, merged
 from tallybeat.llm.text import whole
 from tallybeat.llm.wordhash import MIX1, MIX2, mixed, slices, word_hashes
 from tallybeat.sources.tables import staged
@@ -148,10 +148,9 @@ def ordered(a: Column, b: Column) -> list[Column]:
     return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
-def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+def labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
     """``members`` with the component of each class, in buckets that hold several."""
-    comp = components(links).withColumnRenamed("node", "class_id")
-    rows = members.join(comp, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
+    rows = members.join(comp.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
     open_ = rows.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     return rows.join(open_.filter(F.col("lo") < F.col("hi")).select("band"), "band", "left_semi")
 
@@ -195,7 +194,10 @@ def rare_pairs(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 
 
 def classes_linked(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
-    """(u, v): confirmed links between classes, enough to connect each component."""
+    """node, component: the classes that confirmed links connect, with the least class of each component.
+
+    Each turn searches only the links it has found, between the components of the turn before.
+    """
     buckets = rows.select("class_id", F.explode("bands").alias("band"))
     several = (
         buckets.groupBy("band")
@@ -210,10 +212,10 @@ def classes_linked(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
     sets = staged(full_sets(docs, wanted, s.words).dropDuplicates(["class_id"]), "neardup-sets")
     pairs = members.filter(F.col("class_id") != F.col("hub")).select(*ordered(F.col("class_id"), F.col("hub"))).distinct()
     tested = staged(pairs, "neardup-pairs")
-    links = staged(confirmed(tested, sets, s.similar), "neardup-links")
+    comp = staged(components(confirmed(tested, sets, s.similar)), "neardup-components")
     members = members.select("band", "class_id")
     for turn in range(HUB_ROUNDS + 1):
-        open_ = staged(labelled(members, links), "neardup-open")
+        open_ = staged(labelled(members, comp), "neardup-open")
         if open_.isEmpty():
             break
         if turn < HUB_ROUNDS:
@@ -229,9 +231,11 @@ def classes_linked(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
             pairs = rare_pairs(open_, sets, s.similar)
         fresh = staged(pairs.join(tested, ["u", "v"], "left_anti"), "neardup-pairs")
         found = staged(confirmed(fresh, sets, s.similar), "neardup-links")
-        links, tested = links.unionByName(found), tested.unionByName(fresh)
+        tested = tested.unionByName(fresh)
+        if not found.isEmpty():
+            comp = staged(merged(comp, found), "neardup-components")
         members = open_.select("band", "class_id")
-    return links
+    return comp
 
 
 def groups(docs: DataFrame, s: Settings | None = None) -> DataFrame:
@@ -245,8 +249,7 @@ def groups(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """
     s = s or Settings()
     rows = staged(described(docs, s), "neardup-rows")
-    links = classes_linked(docs, rows, s)
-    comp = components(links).withColumnRenamed("node", "class_id")
+    comp = classes_linked(docs, rows, s).withColumnRenamed("node", "class_id")
     classes = (
         rows.filter(F.col("class_id").isNotNull())
         .groupBy("class_id")
@@ -268,7 +271,8 @@ def deduplicated(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``docs`` with one row of each component; rows without a word stay.
 
     The row with the smallest doc_id stays, null last, then by a hash of its text; of rows
-    that agree in both, any one, as their texts are equal.
+    that agree in both, any one, as their texts are equal. Columns may have any name; an empty
+    table stays empty.
     """
     found = groups(docs, s)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
@@ -278,8 +282,13 @@ def deduplicated(docs: DataFrame, s: Settings | None = None) -> DataFrame:
         .agg(F.min(order).alias("row"))
         .select(F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key"))
     )
-    keyed = docs.withColumn("_text_key", F.xxhash64(whole(F.col("text"))))
-    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    worded = whole(F.col("text")).rlike(r"[^\x20\x09-\x0D]")
-    one = keyed.filter(worded).join(stay, own, "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return one.unionByName(keyed.filter(~worded)).drop("_text_key")
+    # All given columns travel as one, so no name among them can clash.
+    keyed = docs.select(
+        F.struct("*").alias("given"),
+        "doc_id",
+        F.xxhash64(whole(F.col("text"))).alias("text_key"),
+        whole(F.col("text")).rlike(r"[^\x20\x09-\x0D]").alias("worded"),
+    )
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    one = keyed.filter("worded").join(stay, own, "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return one.unionByName(keyed.filter("not worded")).select("given.*")
