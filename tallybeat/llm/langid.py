@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallybeat.llm.text import whole
 from tallybeat.sources.tables import staged
@@ -218,11 +219,14 @@ def identify(docs: DataFrame, model: Model | None, keep: bool = False) -> DataFr
     byte that its code is longer. Ties go to the first language in order; null ids are
     not held out; rows that repeat get equal results; an empty table gives an empty one.
     """
-    columns = docs.columns if keep else ["doc_id"]
-    rows = docs.select(
-        *columns, *([] if keep else [held_out(F.col("doc_id")).alias("held_out")]), whole(F.col("text")).alias("_body")
-    ).withColumn("_lettered", F.col("_body").rlike(r"\p{L}"))
-    given = [f for f in rows.schema if f.name not in ("_body", "_lettered")]
+    kept = docs if keep else docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    body = whole(kept["text"])
+    given = [f for f in kept.schema if keep or f.name != "text"]
+    # The two columns behind the given ones go by their place, under names not among them.
+    own_name = "_" * (1 + max(map(len, kept.columns)))
+    rows = kept.select(
+        *[kept[f.name] for f in given], body.alias(f"{own_name}body"), body.rlike(r"\p{L}").alias(f"{own_name}lettered")
+    )
     added = ["lang_pred", "score", "bits_per_byte"]
     if model is None:
         return rows.select(
@@ -253,5 +257,5 @@ def identify(docs: DataFrame, model: Model | None, keep: bool = False) -> DataFr
                 [*[f.name for f in given], *added],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given)
-    return rows.mapInArrow(predict, f"{schema}, lang_pred string, score double, bits_per_byte double")
+    found = StructType(list(given)).add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
+    return rows.mapInArrow(predict, found)

@@ -200,7 +200,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     Copies are the taken words by the document's size, rounded to the nearest whole
     number (half up), so the document that a shard's line cuts is whole or out. All
-    columns stay as they are.
+    columns stay as they are, whatever their names; nulls, repeated rows and empty tables are
+    as in ``mix``, and a document without a word is never taken.
     """
     copies = (
         mix(docs, **options)
@@ -209,16 +210,20 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         .agg(F.sum("taken").alias("_taken"), F.count(F.lit(1)).alias("_rows"))
         .withColumnsRenamed({"doc_id": "_id"})
     )
-    keyed = docs.withColumns({"_key": F.xxhash64(whole(F.col("text"))), "_source": source_key(F.col("source"))})
+    # All given columns travel as one, so no name among them can clash.
+    keyed = docs.select(
+        F.struct("*").alias("given"),
+        "doc_id",
+        F.xxhash64(whole(F.col("text"))).alias("key"),
+        source_key(F.col("source")).alias("party"),
+    )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (keyed["_key"] == copies["_key"])
-        & (keyed["_source"] == copies["_source"])
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")) & (F.col("party") == F.col("_source"))
     )
     times = F.floor(F.col("_taken") / (F.col("_rows") * F.col("_size")) + 0.5).cast("int")
     return (
         keyed.join(copies.filter(F.col("_taken") > 0), same)
         .withColumn("_times", times)
         .withColumn("_copy", F.explode(F.expr("array_repeat(0, _times)")))
-        .select(*[docs[c] for c in docs.columns])
+        .select("given.*")
     )

@@ -154,16 +154,22 @@ def scan(
 
 
 def cleaned(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with redacted texts; rows without a span stay as they are."""
+    """``docs`` with redacted texts; rows without a span stay as they are.
+
+    Columns may have any name; nulls, repeated rows and empty tables are as in ``scan``.
+    """
     found = scan(docs.select(F.struct("doc_id", F.xxhash64(t.whole(F.col("text"))).alias("key")).alias("doc_id"), "text"), **options)
     spans = (
         found.filter(F.size("spans") > 0)
         .select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.key").alias("_key"), F.col("spans").alias("_spans"))
         .dropDuplicates(["_id", "_key"])
     )
-    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(t.whole(F.col("text"))) == F.col("_key"))
+    # All given columns travel as one, so no name among them can clash.
+    keyed = docs.select(F.struct("*").alias("given"), "doc_id", "text", F.xxhash64(t.whole(F.col("text"))).alias("key"))
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans")))
-    return docs.join(spans, own, "left").select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    given = [text.alias("text") if c == "text" else F.col("given")[c].alias(c) for c in docs.columns]
+    return keyed.join(spans, own, "left").select(*given)
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:

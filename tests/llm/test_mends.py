@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybeat.llm import forest, mixing, pii, rules, secrets, text
+import corpus_pipeline
+from tallybeat.llm import components, forest, mixing, pii, rules, secrets, text
 
 
 def test_nearest_with_many_ties(spark):
@@ -77,3 +78,32 @@ def test_placed_and_replaced_across_runs(spark):
     spans = [(2, 0, 5, "k"), (3, 0, 9, "k"), (4, 0, 6, "k"), (9, 0, 10, "k"), (12, 0, 13, "k")]
     frame = spark.createDataFrame([("0123456789abcdef", spans)], f"t string, s {text.SPAN}")
     assert frame.select(text.replaced(F.col("t"), F.col("s"), lambda s: F.lit("#"))).first()[0] == "01##ab#def"
+
+
+def test_components_merge_step_by_step(spark):
+    """Labels after links in three parts are those of all links at once."""
+    rng = np.random.default_rng(6)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (260, 2))]
+    chain = [(1000 + i, 1001 + i) for i in range(60)]
+    parts = [links[:100], links[100:200] + chain[::2], links[200:] + chain[1::2], []]
+    table = lambda rows: spark.createDataFrame(rows, "u long, v long")
+    labels = components.components(table(parts[0]))
+    for part in parts[1:]:
+        labels = components.merged(labels, table(part))
+    found = Counter(map(tuple, labels.collect()))
+    assert found == Counter(map(tuple, components.components(table(links + chain)).collect()))
+    assert components.components(table([])).count() == 0
+    assert components.merged(components.components(table([])), table([(2, 1)])).count() == 2
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like those that the stages make for themselves come through as they were given."""
+    names = "_key _times _source _id _copy _size _taken _rows _spans _body _lettered _text_key given key party worded score lang_pred".split()
+    fields = ", ".join(f"{n} string" for n in names)
+    rows = [(i, f"the old house by the river number {i} was sold to a quiet family " * 6, "en", "a", 5, *names) for i in range(30)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {fields}")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        found = stage(spark, docs, "")
+        assert found.columns == docs.columns, name
+        assert {tuple(r[n] for n in names) for r in found.collect()} == {tuple(names)}, name
+        assert stage(spark, docs.limit(0), "").count() == 0, name
