@@ -20,20 +20,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rejected are those without a letter, those that no language leads clearly, and those
     that even the best model codes in more bits than random bytes have. ``lang`` stays as it
-    was given.
+    was given. Null and empty texts go; null ids and repeated rows are judged by their text;
+    columns may have any name; an empty table stays empty.
     """
-    found = langid.identify(docs, langid.fit(docs), keep=True)
+    whole_rows = docs.select(F.struct("*").alias("given"), "doc_id", "text")
+    found = langid.identify(whole_rows, langid.fit(docs), keep=True)
     known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= langid.LEAST_SCORE)
-    return found.filter(known & (F.col("bits_per_byte") <= langid.MOST_BITS)).select(docs.columns)
+    return found.filter(known & (F.col("bits_per_byte") <= langid.MOST_BITS)).select("given.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with five-word shingles similar at 0.8."""
+    """One document of each group with five-word shingles similar at 0.8.
+
+    Documents without a word stay, each by itself; of a group the smallest id stays, null
+    last; of repeated rows one; columns may have any name; an empty table stays empty.
+    """
     return neardup.deduplicated(docs)
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with each secret in their text replaced by a mark; n_chars follows."""
+    """All documents, with each secret in their text replaced by a mark; n_chars follows.
+
+    A null text stays null and has 0 characters; repeated rows stay; columns may have any name.
+    """
     clean = secrets.cleaned(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length(whole(F.col("text"))).cast(docs.schema["n_chars"].dataType))
@@ -41,12 +50,19 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it.
+
+    A null source is a source; documents without a word are not taken; repeated rows share what
+    is taken of them; columns may have any name; an empty table stays empty.
+    """
     return mixing.mixed(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, with digests of the ids and of the bytes they decode to."""
+    """Token ids of each row, with digests of the ids and of the bytes they decode to.
+
+    A null text has no token; every row, repeated or without an id, has a row of its own.
+    """
     ranks = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.round_trip(docs, ranks, with_ids=True)
 
