@@ -6,8 +6,8 @@ so a look-up costs the same at any size. The pieces of a word start as its singl
 each step of the fold joins the leftmost pair of neighbours whose bytes have the lowest
 rank. Bytes are written as characters U+0000 to U+00FF, which join and compare alike.
 
-The most frequent distinct words of a sample are folded once and become a second literal;
-any other word is folded where it stands. Which words are in that literal changes the
+The most frequent distinct words of a sample are folded once and become a second constant;
+any other word is folded where it stands. Which words are in that constant changes the
 time, never the ids. Nothing is shuffled but the words of the sample.
 """
 
@@ -18,17 +18,16 @@ import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybeat.llm.text import whole
+from tallybeat.llm.text import drawn, whole
 
 #: White space as the tokenizer understands it (Unicode White_Space), in a Java class.
 SPACE = r"\t-\r\x20\x85\xA0  -     　"
 #: Documents, about, whose words are counted, and most words that are folded once.
-SAMPLE_DOCS, FOLDED = 10_000, 50_000
+SAMPLE_DOCS, FOLDED = 20_000, 150_000
 NO_RANK = 2**31 - 1
 
 
@@ -82,42 +81,49 @@ def look_up(table: tuple[Column, int], key: Column) -> Column:
 
 
 def fold(word: Column, ranks: tuple[Column, int]) -> Column:
-    """Ids of one word, given as byte characters: array<int>."""
-    rank = lambda piece: bound(piece, lambda p: F.coalesce(look_up(ranks, p), F.lit(NO_RANK)))
-    single = F.array_remove(F.split(word, ""), "")
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length(word) - 1), lambda i: rank(F.substring(word, i, F.lit(2)))
+    """Ids of one word, given as byte characters: array<int>.
+
+    The pieces are kept as the places where the word is cut, so a merge drops one cut and
+    ranks the two pairs beside it anew; arrays of numbers are cheaper to filter than to join.
+    """
+
+    def number(begin: Column, end: Column) -> Column:
+        return bound(F.substring(word, begin, end - begin), lambda p: look_up(ranks, p))
+
+    def rank(begin: Column, end: Column) -> Column:
+        return F.coalesce(number(begin, end), F.lit(NO_RANK))
+
+    start = F.struct(
+        F.sequence(F.lit(1), F.length(word) + 1).alias("cuts"),
+        F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda i: rank(i, i + 2)).alias("pairs"),
     )
-    start = F.struct(single.alias("pieces"), pairs.alias("pairs"))
 
     def join_at(acc: Column, i: Column) -> Column:
         """Pieces i and i + 1 become one; the pairs beside it get new ranks."""
-        pieces, own = acc["pieces"], acc["pairs"]
-        left, right = F.get(pieces, i - 2), F.get(pieces, i + 1)
-        joined = F.concat(F.get(pieces, i - 1), F.get(pieces, i))
-        none = F.array().cast("array<int>")
-        before = F.when(i > 1, F.concat(F.slice(own, 1, F.greatest(i - 2, F.lit(0))), F.array(rank(F.concat(left, joined))))).otherwise(none)
-        after = F.when(
-            i < F.size(own), F.concat(F.array(rank(F.concat(joined, right))), F.slice(own, i + 2, F.size(own)))
-        ).otherwise(none)
-        return F.struct(
-            F.concat(
-                F.slice(pieces, 1, i - 1), F.array(joined), F.slice(pieces, i + 2, F.size(pieces))
-            ).alias("pieces"),
-            F.concat(before, after).alias("pairs"),
-        )
+        left = bound(i - 1, lambda gone: F.filter(acc["pairs"], lambda _, at: at != gone))
+
+        def ranked(cuts: Column) -> Column:
+            fresh = lambda at: rank(F.get(cuts, at), F.get(cuts, at + 2))
+            beside = lambda at: (at < i) & (at >= i - 2)
+            pairs = F.transform(left, lambda own, at: F.when(beside(at), fresh(at)).otherwise(own))
+            return F.struct(cuts.alias("cuts"), pairs.alias("pairs"))
+
+        return bound(F.filter(acc["cuts"], lambda _, at: at != i), ranked)
 
     def step(acc: Column, _: Column) -> Column:
-        lowest = F.array_min(acc["pairs"])
-        where = F.array_position(acc["pairs"], lowest).cast("int")
-        return F.when(
-            F.coalesce(lowest < NO_RANK, F.lit(False)),
-            bound(where, lambda i: join_at(acc, i)),
-        ).otherwise(acc)
+        where = lambda lowest: F.array_position(acc["pairs"], lowest).cast("int")
+        return bound(
+            F.array_min(acc["pairs"]),
+            lambda lowest: F.when(
+                F.coalesce(lowest < NO_RANK, F.lit(False)), bound(where(lowest), lambda i: join_at(acc, i))
+            ).otherwise(acc),
+        )
+
+    def ids(cuts: Column) -> Column:
+        return F.array_compact(F.transform(cuts, lambda begin, at: number(begin, F.get(cuts, at + 1))))
 
-    merged = F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), start, step, lambda acc: acc["pieces"])
-    by_merges = F.transform(merged, lambda p: look_up(ranks, p))
-    return bound(look_up(ranks, word), lambda d: F.when(d.isNotNull(), F.array(d)).otherwise(by_merges))
+    cuts = F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), start, step, lambda acc: acc["cuts"])
+    return bound(look_up(ranks, word), lambda d: F.when(d.isNotNull(), F.array(d)).otherwise(bound(cuts, ids)))
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -134,13 +140,17 @@ def as_bytes(word: Column) -> Column:
     return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
 
 
-def frequent(docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_docs: int, folded: int) -> pa.Table:
-    """word, ids (JSON): the most frequent words of about ``sample_docs`` documents, encoded."""
-    rows = docs.count()
-    share = min(1.0, sample_docs / max(rows, 1))
+def frequent(
+    docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_docs: int, folded: int
+) -> tuple[Column, int]:
+    """The most frequent words of about ``sample_docs`` documents with their ids, for ``look_up``.
+
+    Like ``literal_map`` a scalar subquery, but made by Spark: the driver only passes its one row on,
+    which ``folded`` bounds.
+    """
+    share = min(1.0, sample_docs / max(docs.count(), 1))
     top = (
-        docs.filter(F.col("doc_id").isNotNull())
-        .filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        docs.filter(drawn(share, "doc_id", "text"))
         .select(F.explode(F.regexp_extract_all(whole(F.col("text")), F.lit(pattern), F.lit(0))).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -149,7 +159,17 @@ def frequent(docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_do
         .repartition(64)
     )
     ids = bound(F.col("_ranks"), lambda cells: folded_word(F.col("word"), (cells, ranks[1])))
-    return top.select("word", ranks[0].alias("_ranks")).select("word", F.to_json(ids).alias("ids")).toArrow()
+    entry = F.struct("word", ids.alias("ids"))
+    filled = (
+        top.select("word", ranks[0].alias("_ranks"))
+        .select(bucket(F.col("word"), folded).alias("at"), entry.alias("entry"))
+        .groupBy("at")
+        .agg(F.map_from_entries(F.collect_list("entry")).alias("cell"))
+    )
+    places = docs.sparkSession.range(folded).select(F.col("id").cast("int").alias("at"))
+    cells = places.join(filled, "at", "left").agg(F.collect_list(F.struct("at", "cell")).alias("cells"))
+    in_place = F.array_sort("cells", lambda x, y: x["at"] - y["at"])
+    return cells.select(F.transform(in_place, lambda c: c["cell"])).scalar(), folded
 
 
 def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded: int = FOLDED) -> DataFrame:
@@ -163,9 +183,7 @@ def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded
     names = ((piece.decode("latin-1"), str(rank)) for rank, piece in ranks.pieces.items())
     table = literal_map(names, len(ranks.pieces), "int")
     pattern = java_pattern(ranks.pattern)
-    top = frequent(docs, pattern, table, sample_docs, folded)
-    pairs = ((word.as_py(), ids.as_py()) for word, ids in zip(top["word"], top["ids"], strict=True))
-    known = literal_map(pairs, top.num_rows, "array<int>")
+    known = frequent(docs, pattern, table, sample_docs, folded)
     words = F.regexp_extract_all(whole(F.col("text")), F.lit(pattern), F.lit(0))
 
     def ids(known_cells: Column, rank_cells: Column) -> Column:

@@ -423,7 +423,7 @@ def test_line_rules(docs, empty):
     assert not [r for r in got.select("base_failed", "kept").collect() if r.base_failed and r.kept]
 
 
-def test_byte_pairs(docs, empty):
+def test_byte_pairs(spark, docs, empty):
     ranks = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     own = tiktoken.Encoding("own", pat_str=ranks.pattern, mergeable_ranks={b: r for r, b in ranks.pieces.items()}, special_tokens={})
     wanted = []
@@ -432,6 +432,13 @@ def test_byte_pairs(docs, empty):
         wanted.append((i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(t.encode()).hexdigest()))
     same(bpe.round_trip(docs, ranks, folded=20).collect(), wanted)
     assert bpe.round_trip(empty, ranks).count() == 0
+    rng = np.random.default_rng(3)
+    letters = list("etaoinshrdlu") + ["ß", "é", "ж", "語", "🙂", "0", "7", "-", "'"]
+    odd = ["".join(rng.choice(letters, n)) for n in (1, 2, 3, 5, 8, 13, 40, 300) for _ in range(25)] + ["a" * 500, "ab" * 150]
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate([*odd, " ".join(odd)])], "doc_id long, text string")
+    for folded in (1, 100):  # folded where they stand, and by the constant
+        got = {r.doc_id: list(r.ids) for r in bpe.encode(rows, ranks, folded=folded).collect()}
+        assert got == {i: own.encode_ordinary(w) for i, w in enumerate([*odd, " ".join(odd)])}
 
 
 def test_pipeline(spark, docs, tmp_path):
