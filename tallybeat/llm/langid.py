@@ -142,13 +142,14 @@ class Model:
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     """Trees from (doc_id, text, lang) of documents that are not held out.
 
-    About ``per_lang`` documents of each language are chosen by a hash of their id, so the
-    counts that reach the driver are bounded by the sample and the number of languages.
+    About ``per_lang`` documents of each language are chosen by 63 bits of a hash of their id and
+    text, however many there are, so the counts that reach the driver are bounded by the sample
+    and the number of languages.
     Without a labelled text there is no model: None.
     """
     rows = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     sizes = staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
+    draw = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**63 - 1)) / F.lit(2.0**63)
     chosen = rows.join(sizes, "lang").filter(draw * F.col("n") < per_lang).filter(F.length("text") > 0)
     counted = (
         chosen.select(F.col("lang").cast("string"), F.col("text").cast("string"))
