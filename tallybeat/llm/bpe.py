@@ -28,7 +28,6 @@ from tallybeat.llm.text import drawn, whole
 SPACE = r"\t-\r\x20\x85\xA0  -     　"
 #: Documents, about, whose words are counted, and most words that are folded once.
 SAMPLE_DOCS, FOLDED = 20_000, 150_000
-NO_RANK = 2**31 - 1
 
 
 @dataclass(frozen=True)
@@ -87,11 +86,8 @@ def fold(word: Column, ranks: tuple[Column, int]) -> Column:
     ranks the two pairs beside it anew; arrays of numbers are cheaper to filter than to join.
     """
 
-    def number(begin: Column, end: Column) -> Column:
-        return bound(F.substring(word, begin, end - begin), lambda p: look_up(ranks, p))
-
     def rank(begin: Column, end: Column) -> Column:
-        return F.coalesce(number(begin, end), F.lit(NO_RANK))
+        return bound(F.substring(word, begin, end - begin), lambda p: look_up(ranks, p))
 
     start = F.struct(
         F.sequence(F.lit(1), F.length(word) + 1).alias("cuts"),
@@ -100,27 +96,20 @@ def fold(word: Column, ranks: tuple[Column, int]) -> Column:
 
     def join_at(acc: Column, i: Column) -> Column:
         """Pieces i and i + 1 become one; the pairs beside it get new ranks."""
-        left = bound(i - 1, lambda gone: F.filter(acc["pairs"], lambda _, at: at != gone))
-
-        def ranked(cuts: Column) -> Column:
-            fresh = lambda at: rank(F.get(cuts, at), F.get(cuts, at + 2))
-            beside = lambda at: (at < i) & (at >= i - 2)
-            pairs = F.transform(left, lambda own, at: F.when(beside(at), fresh(at)).otherwise(own))
-            return F.struct(cuts.alias("cuts"), pairs.alias("pairs"))
-
-        return bound(F.filter(acc["cuts"], lambda _, at: at != i), ranked)
+        cuts = acc["cuts"]
+        across = lambda at: rank(F.get(cuts, at), F.get(cuts, at + 3))
+        pairs = F.transform(
+            F.filter(acc["pairs"], lambda _, at: at + 1 != i),
+            lambda own, at: F.when((at + 1 == i) | (at + 2 == i), across(at)).otherwise(own),
+        )
+        return F.struct(F.filter(cuts, lambda _, at: at != i).alias("cuts"), pairs.alias("pairs"))
 
     def step(acc: Column, _: Column) -> Column:
-        where = lambda lowest: F.array_position(acc["pairs"], lowest).cast("int")
-        return bound(
-            F.array_min(acc["pairs"]),
-            lambda lowest: F.when(
-                F.coalesce(lowest < NO_RANK, F.lit(False)), bound(where(lowest), lambda i: join_at(acc, i))
-            ).otherwise(acc),
-        )
+        lowest = F.array_position(acc["pairs"], F.array_min(acc["pairs"])).cast("int")
+        return bound(lowest, lambda i: F.when(i.isNotNull(), join_at(acc, i)).otherwise(acc))
 
     def ids(cuts: Column) -> Column:
-        return F.array_compact(F.transform(cuts, lambda begin, at: number(begin, F.get(cuts, at + 1))))
+        return F.array_compact(F.transform(cuts, lambda begin, at: rank(begin, F.get(cuts, at + 1))))
 
     cuts = F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), start, step, lambda acc: acc["cuts"])
     return bound(look_up(ranks, word), lambda d: F.when(d.isNotNull(), F.array(d)).otherwise(bound(cuts, ids)))
