@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tallybeat.constants import ACTIVE
 from tallybeat.functions.columns import minute_of, month_key
-from tallybeat.operators.joins import keep_members
+from tallybeat.operators.joins import broadcasts, keep_members, small_or_merged
+from tallybeat.sources.tables import staged
 
 CATALOG = ["recording_mbid", "asset_id", "artist_id", "distributor_id"]
 
@@ -23,25 +24,23 @@ def active_catalog(tracks: DataFrame) -> DataFrame:
 SALTS = 16
 
 
-def active_listens(listens: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Listens to active tracks, cut to what counting needs.
+def active_listens(listens: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Listens to the tracks of the active catalog, cut to what counting needs.
 
-    A catalog too large to broadcast is joined on the recording and a part of its users, so
-    a recording with very many listens is met by ``SALTS`` tasks; the narrow catalog is
-    repeated as often. That partitioning does not serve the counts after it, which deal
-    the rows anew by user.
+    A small catalog, by a count, is broadcast as it is. A larger one is joined on the recording and
+    a part of its users, so a recording with very many listens is met by ``SALTS`` tasks; the
+    narrow catalog is repeated as often, and never sent to the driver. That partitioning does not
+    serve the counts after it, which deal the rows anew by user.
     """
     known = listens.filter(F.col("recording_mbid").isNotNull()).select(
         "user_id", "recording_mbid", "listened_at"
     )
-    members = (
-        active_catalog(tracks)
-        .select("recording_mbid")
-        .distinct()
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
+    members = catalog.select("recording_mbid").distinct()
+    if broadcasts(catalog):
+        return known.join(F.broadcast(members), "recording_mbid", "left_semi")
+    repeated = members.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = known.withColumn("_salt", F.pmod(F.xxhash64("user_id"), F.lit(SALTS)).cast("int"))
-    return salted.join(members, ["recording_mbid", "_salt"], "left_semi").drop("_salt")
+    return salted.join(repeated.hint("merge"), ["recording_mbid", "_salt"], "left_semi").drop("_salt")
 
 
 def stream_monthly(listens: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -52,10 +51,11 @@ def stream_monthly(listens: DataFrame, tracks: DataFrame) -> DataFrame:
     counts decide nothing about asset, artist and distributor, so those are added to the
     few result rows at the end. Every shuffle is keyed by user, or a part of the users, as
     well as recording or follows a partial count, so a recording with a third of all
-    listens stays spread out.
+    listens stays spread out. The catalog is staged, so it is conformed once.
     """
+    catalog = staged(active_catalog(tracks), "active-catalog")
     per_minute = (
-        active_listens(listens, tracks)
+        active_listens(listens, catalog)
         .select("user_id", "recording_mbid", minute_of(F.col("listened_at")).alias("listen_minute"))
         .distinct()
     )
@@ -67,15 +67,15 @@ def stream_monthly(listens: DataFrame, tracks: DataFrame) -> DataFrame:
             F.countDistinct("user_id").alias("unique_listeners"),
         )
     )
-    return counts.join(active_catalog(tracks), "recording_mbid").select(
+    return counts.join(small_or_merged(catalog), "recording_mbid").select(
         "listen_month", *CATALOG, "stream_count", "unique_listeners"
     )
 
 
 def active_members(listens: DataFrame, tracks: DataFrame) -> DataFrame:
     """Size of the active catalog and how much of it was ever listened to."""
-    active = active_catalog(tracks).select("recording_mbid").distinct()
-    of_active = keep_members(listens.select("recording_mbid"), active, "recording_mbid")
+    active = staged(active_catalog(tracks).select("recording_mbid").distinct(), "active-recordings")
+    of_active = keep_members(listens.select("recording_mbid"), small_or_merged(active), "recording_mbid")
     heard = of_active.distinct().withColumn("heard", F.lit(1))
     return active.join(heard, "recording_mbid", "left").agg(
         F.count("*").alias("active_tracks"), F.count("heard").alias("heard_tracks")

@@ -294,3 +294,21 @@ def test_absurd_views_do_not_stop_the_fact(spark):
     assert rows_of(refused, "country", "views", "reject_reason") == [("US", 9 * 10**18, facts.TOO_LARGE)]
     plan = plan_of(kept)
     assert "BroadcastHashJoin" in plan
+
+
+def test_large_catalog_is_not_broadcast(spark, tmp_path):
+    """60,000 tracks in small files are merged and only then repeated; a few are broadcast once."""
+    made = spark.range(60_000).select(
+        F.col("id").cast("string").alias("track_id"), *[F.lit("a").alias(c) for c in ("asset_id", "artist_id", "distributor_id")],
+        F.lit("ACTIVE").alias("active_status"),
+    )
+    made.write.parquet(str(tmp_path / "tracks"))
+    tracks = spark.read.parquet(str(tmp_path / "tracks"))
+    heard = listens(spark, (1, "7", "2025-01-01 10:00:01"), (2, "7", "2025-01-01 10:00:02"), (1, "gone", "2025-01-01 10:00:01"))
+    large = streams.stream_monthly(heard, tracks)
+    assert "BroadcastExchange" not in plan_of(large) and "_salt" in plan_of(large)
+    few = streams.stream_monthly(heard, tracks.filter("track_id < 50"))
+    assert "BroadcastExchange" in plan_of(few) and "_salt" not in plan_of(few)
+    for found in (large, few):
+        assert rows_of(found, "listen_month", "recording_mbid", "stream_count", "unique_listeners") == [("202501", "7", 2, 2)]
+    assert rows_of(streams.active_members(heard, tracks)) == [(60_000, 1)]
