@@ -1,33 +1,33 @@
 """Byte-level BPE in Spark: ranked merges folded over the bytes of distinct words.
 
-Words are the matches of the tokenizer's pattern. The ranks are one constant of the plan,
-a bucketed map: an array indexed by a hash whose cells are tiny maps from bytes to rank,
-so a look-up costs the same at any size. The pieces of a word start as its single bytes;
-each step of the fold joins the leftmost pair of neighbours whose bytes have the lowest
-rank. Bytes are written as characters U+0000 to U+00FF, which join and compare alike.
-
-The most frequent distinct words of a sample are folded once and become a second constant;
-any other word is folded where it stands. Which words are in that constant changes the
-time, never the ids. Nothing is shuffled but the words of the sample.
+Words are the matches of the tokenizer's pattern, found by Spark. Tasks take them in Arrow batches:
+the distinct words of a batch are folded, and numpy deals their ids out to where the words stand.
+The pieces of a word start as its single bytes; each step of the fold joins the leftmost pair of
+neighbours whose bytes have the lowest rank.
+
+A task keeps the words that it folded, up to a number; which they are changes the time, never the
+ids. Nothing is shuffled, and the driver holds the ranks alone.
 """
 
 from __future__ import annotations
 
 import base64
-import json
-from collections.abc import Callable, Iterable
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from tallybeat.llm.text import drawn, whole
+from tallybeat.llm.text import whole
 
 #: White space as the tokenizer understands it (Unicode White_Space), in a Java class.
 SPACE = r"\t-\r\x20\x85\xA0  -     　"
-#: Documents, about, whose words are counted, and most words that are folded once.
-SAMPLE_DOCS, FOLDED = 20_000, 150_000
+#: Most words that a task keeps folded, and words handled at once.
+FOLDED, CHUNK = 150_000, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -49,164 +49,118 @@ def java_pattern(pattern: str) -> str:
     return pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
 
 
-def bucket(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def literal_map(entries: Iterable[tuple[str, str]], size: int, value_type: str) -> tuple[Column, int]:
-    """A constant array of small maps and its length; the hash of a key names its cell.
-
-    Values are given as JSON, and the cells are built as JSON text, so that the driver holds
-    no object per entry. The array is a scalar subquery: computed once, it reaches the tasks
-    as a literal does, but in Spark's compact rows, and no description of the plan spells it
-    out. Such a subquery may not stand in a lambda: select it first, then use its column once.
-    """
-    count = max(1, size)
-    cells = [""] * count
-    for key, value in entries:
-        at = xxhash.xxh64_intdigest(key.encode(), 42)
-        at = (at - (1 << 64) if at >> 63 else at) % count
-        entry = f"{json.dumps(key, ensure_ascii=False)}:{value}"
-        cells[at] = f"{cells[at]},{entry}" if cells[at] else entry
-    text = ",".join(f"{{{cell}}}" if cell else "null" for cell in cells)
-    made = F.from_json("text", f"array<map<string,{value_type}>>")
-    return SparkSession.active().createDataFrame([(f"[{text}]",)], "text string").select(made).scalar(), count
-
-
-def look_up(table: tuple[Column, int], key: Column) -> Column:
-    """The value of a key; null if there is none."""
-    cells, count = table
-    return F.try_element_at(F.get(cells, bucket(key, count)), key)
-
-
-def fold(word: Column, ranks: tuple[Column, int]) -> Column:
-    """Ids of one word, given as byte characters: array<int>.
-
-    The pieces are kept as the places where the word is cut, so a merge drops one cut and
-    ranks the two pairs beside it anew; arrays of numbers are cheaper to filter than to join.
-    """
-
-    def rank(begin: Column, end: Column) -> Column:
-        return bound(F.substring(word, begin, end - begin), lambda p: look_up(ranks, p))
-
-    start = F.struct(
-        F.sequence(F.lit(1), F.length(word) + 1).alias("cuts"),
-        F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda i: rank(i, i + 2)).alias("pairs"),
-    )
-
-    def join_at(acc: Column, i: Column) -> Column:
-        """Pieces i and i + 1 become one; the pairs beside it get new ranks."""
-        cuts = acc["cuts"]
-        across = lambda at: rank(F.get(cuts, at), F.get(cuts, at + 3))
-        pairs = F.transform(
-            F.filter(acc["pairs"], lambda _, at: at + 1 != i),
-            lambda own, at: F.when((at + 1 == i) | (at + 2 == i), across(at)).otherwise(own),
-        )
-        return F.struct(F.filter(cuts, lambda _, at: at != i).alias("cuts"), pairs.alias("pairs"))
-
-    def step(acc: Column, _: Column) -> Column:
-        lowest = F.array_position(acc["pairs"], F.array_min(acc["pairs"])).cast("int")
-        return bound(lowest, lambda i: F.when(i.isNotNull(), join_at(acc, i)).otherwise(acc))
-
-    def ids(cuts: Column) -> Column:
-        return F.array_compact(F.transform(cuts, lambda begin, at: rank(begin, F.get(cuts, at + 1))))
-
-    cuts = F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), start, step, lambda acc: acc["cuts"])
-    return bound(look_up(ranks, word), lambda d: F.when(d.isNotNull(), F.array(d)).otherwise(bound(cuts, ids)))
-
+def fold(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
+    """Ids of one word.
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed, or kept in the plan, once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def folded_word(word: Column, ranks: tuple[Column, int]) -> Column:
-    return bound(as_bytes(word), lambda b: fold(b, ranks))
-
-
-def as_bytes(word: Column) -> Column:
-    """UTF-8 bytes as characters U+0000 to U+00FF."""
-    return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-
-
-def frequent(
-    docs: DataFrame, pattern: str, ranks: tuple[Column, int], sample_docs: int, folded: int
-) -> tuple[Column, int]:
-    """The most frequent words of about ``sample_docs`` documents with their ids, for ``look_up``.
-
-    Like ``literal_map`` a scalar subquery, but made by Spark: the driver only passes its one row on,
-    which ``folded`` bounds.
+    Each piece is known by where it begins. Pairs wait in a heap by rank, then place; one whose
+    pieces have been joined otherwise is passed over. So n bytes take about n log n steps.
     """
-    share = min(1.0, sample_docs / max(docs.count(), 1))
-    top = (
-        docs.filter(drawn(share, "doc_id", "text"))
-        .select(F.explode(F.regexp_extract_all(whole(F.col("text")), F.lit(pattern), F.lit(0))).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(folded)
-        .repartition(64)
-    )
-    ids = bound(F.col("_ranks"), lambda cells: folded_word(F.col("word"), (cells, ranks[1])))
-    entry = F.struct("word", ids.alias("ids"))
-    filled = (
-        top.select("word", ranks[0].alias("_ranks"))
-        .select(bucket(F.col("word"), folded).alias("at"), entry.alias("entry"))
-        .groupBy("at")
-        .agg(F.map_from_entries(F.collect_list("entry")).alias("cell"))
-    )
-    places = docs.sparkSession.range(folded).select(F.col("id").cast("int").alias("at"))
-    cells = places.join(filled, "at", "left").agg(F.collect_list(F.struct("at", "cell")).alias("cells"))
-    in_place = F.array_sort("cells", lambda x, y: x["at"] - y["at"])
-    return cells.select(F.transform(in_place, lambda c: c["cell"])).scalar(), folded
-
-
-def encode(docs: DataFrame, ranks: Ranks, sample_docs: int = SAMPLE_DOCS, folded: int = FOLDED) -> DataFrame:
+    if word in ranks:
+        return [ranks[word]]
+    n = len(word)
+    ends, befores = list(range(1, n + 1)), list(range(-1, n - 1))
+    pairs = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
+    heapify(pairs)
+    while pairs:
+        _, begin, end = heappop(pairs)
+        middle = ends[begin]
+        if not 0 < middle < n or ends[middle] != end:
+            continue
+        ends[begin], ends[middle] = end, 0
+        if end < n:
+            befores[end] = begin
+        for low, high in ((befores[begin], end), (begin, ends[end] if end < n else 0)):
+            if low >= 0 and high and (rank := ranks.get(word[low:high])) is not None:
+                heappush(pairs, (rank, low, high))
+    found, at = [], 0
+    while at < n:
+        found.append(ranks.get(word[at : ends[at]]))
+        at = ends[at]
+    return [i for i in found if i is not None]
+
+
+def dealt(flat: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists that lie end to end, the picked ones end to end, and their sizes."""
+    n = sizes[picks]
+    ends = np.cumsum(n)
+    before = (np.cumsum(sizes) - sizes)[picks] - (ends - n)
+    return flat[np.repeat(before, n) + np.arange(ends[-1] if len(ends) else 0)], n
+
+
+def parts(words: pa.ListArray) -> Iterator[tuple[int, int]]:
+    """Consecutive rows with about ``CHUNK`` words, or one row if it has more."""
+    begins = words.offsets.to_numpy()[:-1].astype(np.int64)
+    bounds = np.flatnonzero(np.diff((begins - begins[:1]) // CHUNK, prepend=-1)).tolist()
+    yield from zip(bounds, [*bounds[1:], len(words)])
+
+
+def lists(offsets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where each row's values begin and end, given the same for its items and their sizes."""
+    return np.append(0, np.cumsum(sizes))[offsets].astype(np.int32)
+
+
+def encode(docs: DataFrame, ranks: Ranks, folded: int = FOLDED, with_bytes: bool = False) -> DataFrame:
     """doc_id, ids (array<int>): the ids of each whole text.
 
     Needs doc_id and text; other columns are not read. Null and empty texts have no ids;
     ids of documents may be null or repeat: each row is encoded alone; an empty table
-    gives an empty result. A word of n bytes takes n steps of n, so one word of very many
-    thousand letters is slow, but right.
+    gives an empty result. ``with_bytes`` adds ids_bytes, the ids as unsigned 32-bit integers with
+    the lowest byte first, and decoded, the bytes that the ids stand for.
     """
-    names = ((piece.decode("latin-1"), str(rank)) for rank, piece in ranks.pieces.items())
-    table = literal_map(names, len(ranks.pieces), "int")
-    pattern = java_pattern(ranks.pattern)
-    known = frequent(docs, pattern, table, sample_docs, folded)
-    words = F.regexp_extract_all(whole(F.col("text")), F.lit(pattern), F.lit(0))
-
-    def ids(known_cells: Column, rank_cells: Column) -> Column:
-        by_fold = lambda w: folded_word(w, (rank_cells, table[1]))
-        return F.flatten(F.transform(words, lambda w: F.coalesce(look_up((known_cells, known[1]), w), by_fold(w))))
-
-    found = bound(F.col("_known"), lambda k: bound(F.col("_ranks"), lambda r: ids(k, r)))
-    held = docs.select("doc_id", "text", known[0].alias("_known"), table[0].alias("_ranks"))
-    return held.select("doc_id", found.alias("ids"))
-
-
-def joined_bytes(ids: Column, cells: list[str]) -> Column:
-    """The bytes that ``cells`` gives in hex for each id, one after another."""
-    table = F.split(F.lit(",".join(cells)), ",")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
-
-
-def decode(ids: Column, ranks: Ranks) -> Column:
-    """The bytes that the ids stand for."""
-    return joined_bytes(ids, [ranks.pieces.get(i, b"").hex() for i in range(max(ranks.pieces) + 1)])
-
-
-def little_endian(ids: Column, ranks: Ranks) -> Column:
-    """The ids as unsigned 32-bit integers, lowest byte first."""
-    return joined_bytes(ids, [i.to_bytes(4, "little").hex() for i in range(max(ranks.pieces) + 1)])
+    shared = docs.sparkSession.sparkContext.broadcast(ranks.pieces)
+
+    def batches_of_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = shared.value
+        by_bytes = {piece: rank for rank, piece in pieces.items()}
+        every = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
+        piece_bytes = np.frombuffer(b"".join(every), np.uint8)
+        piece_sizes = np.array([len(piece) for piece in every])
+        known: dict[bytes, list[int]] = {}
+
+        def ids_of(word: bytes) -> list[int]:
+            ids = known.get(word)
+            if ids is None:
+                ids = fold(word, by_bytes)
+                if len(known) < folded:
+                    known[word] = ids
+            return ids
+
+        for batch in batches:
+            for low, high in parts(batch.column(1)):
+                part = batch.slice(low, high - low)
+                words = part.column(1)
+                distinct = words.flatten().dictionary_encode()
+                own = [ids_of(word) for word in distinct.dictionary.cast(pa.binary()).to_pylist()]
+                flat = np.array([i for ids in own for i in ids], np.int32)
+                sizes = np.array([len(ids) for ids in own], np.int64)
+                ids, n = dealt(flat, sizes, distinct.indices.to_numpy())
+                offsets = words.offsets.to_numpy()
+                places = lists(offsets - offsets[0], n)
+                columns = [part.column(0), pa.ListArray.from_arrays(places, pa.array(ids))]
+                if with_bytes:
+                    decoded, n = dealt(piece_bytes, piece_sizes, ids)
+                    little = ids.astype("<u4").view(np.uint8)
+                    columns += [binaries(places * 4, little), binaries(lists(places, n), decoded)]
+                yield pa.RecordBatch.from_arrays(columns, found.names)
+
+    words = F.regexp_extract_all(whole(F.col("text")), F.lit(java_pattern(ranks.pattern)), F.lit(0))
+    found = StructType([docs.schema["doc_id"]]).add("ids", ArrayType(IntegerType()))
+    if with_bytes:
+        found = found.add("ids_bytes", "binary").add("decoded", "binary")
+    return docs.select("doc_id", words.alias("words")).mapInArrow(batches_of_ids, found)
+
+
+def binaries(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 def round_trip(docs: DataFrame, ranks: Ranks, with_ids: bool = False, **options) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, and the ids if asked for."""
-    encoded = encode(docs, ranks, **options)
+    encoded = encode(docs, ranks, with_bytes=True, **options)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(little_endian(F.col("ids"), ranks), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+        F.sha2("ids_bytes", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
         *["ids"] * with_ids,
     )

@@ -4,11 +4,14 @@ import time
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybeat.llm import components, forest, mixing, pii, rules, secrets, text
+from tallybeat.llm import bpe, components, forest, mixing, pii, rules, secrets, text
 
 
 def test_nearest_with_many_ties(spark):
@@ -107,3 +110,15 @@ def test_stages_keep_columns_of_any_name(spark):
         assert found.columns == docs.columns, name
         assert {tuple(r[n] for n in names) for r in found.collect()} == {tuple(names)}, name
         assert stage(spark, docs.limit(0), "").count() == 0, name
+
+
+def test_long_word_and_plan_without_constants(spark):
+    """A word of 20,000 letters takes a heap's time; the ranks are not spelled out in the plan."""
+    ranks = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    by_bytes = {piece: rank for rank, piece in ranks.pieces.items()}
+    own = tiktoken.Encoding("own", pat_str=ranks.pattern, mergeable_ranks=by_bytes, special_tokens={})
+    texts = ["abcdefgh" * 2500, None, "", "one two  two", "语" * 300]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = bpe.round_trip(rows, ranks, with_ids=True)
+    assert "Subquery" not in plan_of(found) and len(plan_of(found)) < 20_000
+    assert {r.doc_id: r.ids for r in found.collect()} == {i: own.encode_ordinary(t or "") for i, t in enumerate(texts)}
