@@ -28,7 +28,7 @@ from tallybeat.sources.tables import staged
 #: Longest context in bytes; documents per language that the trees are fitted on, about.
 ORDER, PER_LANG = 4, 400
 #: Bytes handled at once, whatever the texts' lengths.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Below this share of the evidence, or above so many bits a byte, a text has no language.
 LEAST_SCORE, MOST_BITS = 0.4, 9.0
 UNKNOWN = "und"
@@ -49,15 +49,21 @@ def grams(data: np.ndarray, order: int) -> np.ndarray:
 
 
 def with_starts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts, each after ``ORDER`` zero bytes, and where each text begins."""
-    texts = texts.cast(pa.large_binary())
-    bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
-    body = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
-    bounds = bounds - bounds[0]
-    begins = bounds[:-1] + ORDER * np.arange(len(texts))
-    data = np.zeros(len(body) + ORDER * max(len(texts), 1), np.uint8)
-    data[np.arange(len(body)) + ORDER * np.repeat(np.arange(1, len(texts) + 1), np.diff(bounds))] = body
-    return data, begins
+    """The bytes of all texts, each after ``ORDER`` zero bytes, and where each text begins, less ``ORDER``."""
+    if not len(texts):
+        return np.zeros(ORDER, np.uint8), np.zeros(0, np.int64)
+    zeros, nothing = (pa.scalar(x, pa.large_binary()) for x in (bytes(ORDER), b""))
+    led = pc.binary_join_element_wise(zeros, texts.cast(pa.large_binary()).fill_null(b""), nothing)
+    bounds = np.frombuffer(led.buffers()[1], np.int64, len(led) + 1, 8 * led.offset)
+    return np.frombuffer(led.buffers()[2], np.uint8)[bounds[0] : bounds[-1]], bounds[:-1] - bounds[0]
+
+
+def sliced(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive parts of about ``CHUNK`` bytes, or one text if it is longer."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // CHUNK, prepend=-1)).tolist()
+    for low, high in zip(bounds, [*bounds[1:], len(texts)]):
+        yield texts.slice(low, high - low)
 
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +202,12 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
 
 
 def total_bits(model: Model, texts: pa.Array) -> np.ndarray:
-    """Code length of each text in every language; long texts pass in chunks."""
+    """Code length of each text in every language, for about ``CHUNK`` bytes at a time."""
+    return np.vstack([np.zeros((0, len(model.langs))), *[slice_bits(model, part) for part in sliced(texts)]])
+
+
+def slice_bits(model: Model, texts: pa.Array) -> np.ndarray:
+    """``total_bits`` of a few texts; a long one passes in chunks."""
     data, begins = with_starts(texts)
     ends = np.append(begins[1:] - ORDER, len(data) - ORDER)
     out = np.zeros((len(texts), len(model.langs)))
@@ -223,11 +234,15 @@ def identify(docs: DataFrame, model: Model | None, keep: bool = False) -> DataFr
     kept = docs if keep else docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     body = whole(kept["text"])
     given = [f for f in kept.schema if keep or f.name != "text"]
-    # The two columns behind the given ones go by their place, under names not among them.
+    # What is behind the given columns goes by its place, under names not among them: whether there is
+    # a letter, and the text unless it is among the given ones.
     own_name = "_" * (1 + max(map(len, kept.columns)))
     rows = kept.select(
-        *[kept[f.name] for f in given], body.alias(f"{own_name}body"), body.rlike(r"\p{L}").alias(f"{own_name}lettered")
+        *[kept[f.name] for f in given],
+        body.rlike(r"\p{L}").alias(f"{own_name}lettered"),
+        *[body.alias(f"{own_name}body")] * (not keep),
     )
+    text_at = [f.name for f in given].index("text") if keep else len(given) + 1
     added = ["lang_pred", "score", "bits_per_byte"]
     if model is None:
         return rows.select(
@@ -242,7 +257,8 @@ def identify(docs: DataFrame, model: Model | None, keep: bool = False) -> DataFr
         own = shared.value
         names = np.array([*own.langs, UNKNOWN], object)
         for batch in batches:
-            texts, lettered = batch.column(len(given)), batch.column(len(given) + 1).to_numpy(zero_copy_only=False)
+            lettered = batch.column(len(given)).to_numpy(zero_copy_only=False)
+            texts = batch.column(text_at).fill_null("")
             bits = total_bits(own, texts)
             rate = bits / np.maximum(pc.binary_length(texts).to_numpy(), 1)[:, None]
             best = rate.argmin(axis=1)

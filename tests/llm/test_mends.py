@@ -1,17 +1,19 @@
 """Cases that need whole results: ties, short documents in many shards, very long texts."""
 
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import plan_of
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybeat.llm import bpe, components, forest, mixing, pii, rules, secrets, text
+from tallybeat.llm import bpe, components, forest, langid, mixing, pii, rules, secrets, text
 
 
 def test_nearest_with_many_ties(spark):
@@ -122,3 +124,18 @@ def test_long_word_and_plan_without_constants(spark):
     found = bpe.round_trip(rows, ranks, with_ids=True)
     assert "Subquery" not in plan_of(found) and len(plan_of(found)) < 20_000
     assert {r.doc_id: r.ids for r in found.collect()} == {i: own.encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
+def test_scoring_holds_a_slice_of_the_texts(spark):
+    """A batch of 20 MB of texts is scored by parts, with the code lengths of each text alone."""
+    rows = [(i, w * 40, lang) for i, (w, lang) in enumerate([("the cat sat ", "en"), ("le chat dort ", "fr")] * 8)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = pa.array([f"le chat {i} sat on the mat, " * 700 for i in range(1000)] + ["", "the cat", "x" * 2 * langid.CHUNK])
+    tracemalloc.start()
+    bits = langid.total_bits(model, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6 and bits.shape == (1003, 2)
+    for i in (0, 500, 1000, 1001, 1002):
+        assert np.allclose(bits[i], langid.total_bits(model, texts.slice(i, 1))[0])
+    assert langid.total_bits(model, texts.slice(0, 0)).shape == (0, 2)
