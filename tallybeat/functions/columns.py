@@ -53,8 +53,9 @@ def month_key(instant: Column) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    """``yyyyMMdd`` as an int."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    """``yyyyMMdd`` as an int, by arithmetic; years before 1, which the format counts backwards, by the format."""
+    parts = F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
+    return F.when(F.year(day) > 0, parts).otherwise(F.date_format(day, "yyyyMMdd").cast("int"))
 
 
 def weekend(day: Column) -> Column:

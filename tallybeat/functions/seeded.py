@@ -7,6 +7,7 @@ any retry after a lost executor and in any engine with md5; ``rand()`` is none o
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,23 +59,32 @@ def distinct_choices(seed: str, values: list[str], size: Column, *parts: Column)
     return F.transform(F.slice(F.array_sort(keyed), F.lit(1), size.cast("int")), lambda x: x["v"])
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def distinct_numbers(seed: str, size: Column, total: Column, *parts: Column) -> Column:
     """Array of ``size`` different numbers in [1, total], every such set equally likely; all if fewer.
 
     Floyd's sampling: number i of the draw lies in [1, total - size + i]; if it was drawn before, the
     upper bound, which cannot have been, takes its place. No other candidate is made, so the
-    cost per row is that of the set, however large ``total`` is.
+    cost per row is that of the set, however large ``total`` is. ``size`` and each number are drawn
+    once, bound to a variable: an expression named twice within a lambda is computed twice.
     """
-    wanted = F.least(size, total).cast("bigint")
 
-    def step(chosen: Column, i: Column) -> Column:
-        high = total - wanted + i
-        drawn = F.pmod(long_draw(seed, *parts, i), high) + 1
-        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, drawn), high).otherwise(drawn)))
+    def numbers(wanted: Column) -> Column:
+        below = total - wanted
+        places = F.sequence(F.lit(1).cast("bigint"), wanted)
+        drawn = F.transform(places, lambda i: F.pmod(long_draw(seed, *parts, i), below + i) + 1)
+
+        def step(chosen: Column, x: Column) -> Column:
+            return F.array_append(chosen, F.when(F.array_contains(chosen, x), below + F.size(chosen) + 1).otherwise(x))
+
+        return F.when(wanted > 0, F.aggregate(drawn, none, step)).otherwise(none)
 
     none = F.array().cast("array<bigint>")
-    places = F.sequence(F.lit(1).cast("bigint"), wanted)
-    return F.when(wanted > 0, F.aggregate(places, none, step)).otherwise(none)
+    return bound(F.least(size, total).cast("bigint"), numbers)
 
 
 def day_between(seed: str, first: str, last: str, *parts: Column) -> Column:

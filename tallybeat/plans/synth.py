@@ -291,8 +291,12 @@ def contributor_mapping(
     team = distinct_numbers(f"{seed}.mapping.member", wanted, F.col("_total"), asset)
     counted = _spread(assets.select("asset_id"), "asset_id").select("asset_id", _size(contributors).alias("_total"))
     # An outer explode infers no filter on the team, which would draw it a second time.
-    chosen = counted.select("asset_id", team.alias("_team")).select(
-        "asset_id", F.size("_team").alias("_size"), F.explode_outer("_team").alias("rank")
+    # The share is one per asset, so it is divided before the team becomes rows; none for an empty team.
+    share = F.round(F.lit(1).cast("decimal(10,8)") / F.nullif(F.size("_team"), F.lit(0)), 4).cast("decimal(6,4)")
+    chosen = (
+        counted.select("asset_id", team.alias("_team"))
+        .select("asset_id", "_team", share.alias("allocation_percent"))
+        .select("asset_id", "allocation_percent", F.explode_outer("_team").alias("rank"))
     )
     people = contributors.select(
         "rank", "contributor_id", F.col("default_role").alias("role_in_asset")
@@ -302,9 +306,7 @@ def contributor_mapping(
         "contributor_id",
         "role_in_asset",
         F.lit(k.EQUAL).alias("allocation_method"),
-        F.round(F.lit(1).cast("decimal(10,8)") / F.col("_size"), 4)
-        .cast("decimal(6,4)")
-        .alias("allocation_percent"),
+        "allocation_percent",
     )
 
 

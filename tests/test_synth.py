@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter, defaultdict
 from decimal import Decimal
 
@@ -6,7 +7,8 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tallybeat import constants as k
-from tallybeat.functions.seeded import distinct_numbers
+from tallybeat.functions.columns import date_key
+from tallybeat.functions.seeded import distinct_numbers, whole
 from tallybeat.plans import synth
 
 
@@ -124,3 +126,39 @@ def test_distinct_numbers_reach_every_set(spark):
     assert max(gaps) > 0.9e12 and min(gaps) < 0.2e12
     few = ids.limit(3).select(*[distinct_numbers("t", F.lit(4), F.lit(n), F.col("id")) for n in (0, 1, 3)])
     assert all(r[0] == [] and r[1] == [1] and sorted(r[2]) == [1, 2, 3] for r in few.collect())
+
+
+def test_distinct_numbers_draw_each_number_once(spark):
+    """A draw per number and one of the size, with the values that Floyd's sampling gives step by step."""
+    ids = spark.range(200)
+    size = whole("size", 0, 5, F.col("id"))
+    team = distinct_numbers("t", size, F.lit(7).cast("bigint"), F.col("id"))
+    frame = ids.select("id", team.alias("team"))
+    analyzed = frame._jdf.queryExecution().analyzed().toString()
+    assert analyzed.count("md5(") == 2
+
+    def plain(row: int) -> list[int]:
+        digest = lambda *parts: hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+        wanted, chosen = int(digest("size", row)[:8], 16) % 6, []
+        for i in range(1, wanted + 1):
+            drawn = int(digest("t", row, i)[:15], 16) % (7 - wanted + i) + 1
+            chosen.append(7 - wanted + i if drawn in chosen else drawn)
+        return chosen
+
+    assert {r.id: r.team for r in frame.collect()} == {row: plain(row) for row in range(200)}
+
+
+def test_mapping_without_contributors_is_empty(spark):
+    nobody = synth.contributors(spark.range(0).withColumnRenamed("id", "rank"))
+    assets = spark.range(3).select(F.col("id").cast("string").alias("asset_id"))
+    assert synth.contributor_mapping(assets, nobody, 1, 4).collect() == []
+
+
+def test_date_key_is_that_of_the_format(spark):
+    days = spark.sql(
+        "select explode(array(date'2024-02-29', date'9999-12-31', date'0001-01-01', date'1582-10-10', null,"
+        " make_date(0, 3, 1), make_date(-44, 3, 15), make_date(12345, 6, 7))) as day"
+    )
+    wanted = F.date_format("day", "yyyyMMdd").cast("int")
+    assert days.filter(~date_key(F.col("day")).eqNullSafe(wanted)).count() == 0
+    assert days.filter(date_key(F.col("day")).isNull()).count() == 1
